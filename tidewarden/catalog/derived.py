@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewarden import schemas
 from tidewarden.config import Thresholds
+from tidewarden.functions.plan import computed_once
 from tidewarden.operators import classify as rules
 from tidewarden.sources import events as event_json
 
@@ -38,6 +39,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.col("value") * 100).cast("bigint").alias("cents"),
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
     )
+    base = computed_once(base, {"cents": F.col("cents"), "k": F.col("k")})
     return base.withColumns(
         {
             "u": (F.col("event_id") * 7919 + F.col("k") * 104729) % 100000,

@@ -112,12 +112,16 @@ def rule_flags(df: DataFrame, thresholds: Thresholds = Thresholds()) -> DataFram
 
 def classify(df: DataFrame, thresholds: Thresholds = Thresholds()) -> DataFrame:
     """Set tier, notification duty and deadline hours, replacing whatever the event carried."""
-    tier = F.col("severity")
-    hours = F.lit(None).cast("int")
-    for name, value in DEADLINE_HOURS.items():
-        hours = F.when(tier == name, F.lit(value)).otherwise(hours)
-    return df.withColumn("severity", severity(thresholds)).withColumns(
-        {"notify_required": tier.isin(*DEADLINE_HOURS), "notify_deadline_hours": hours}
+    hours = _first_match(
+        thresholds, lambda _, rule: F.lit(DEADLINE_HOURS[rule.tier]), F.lit(None).cast("int")
+    )
+    required = _first_match(thresholds, lambda _, rule: F.lit(True), F.lit(False))
+    return df.withColumns(
+        {
+            "severity": severity(thresholds),
+            "notify_required": required,
+            "notify_deadline_hours": hours,
+        }
     )
 
 

@@ -56,21 +56,18 @@ def derive(
         {
             "reporting_period": F.date_format("incident_ts", "yyyy-MM"),
             "containment_hours": F.when(end.isNotNull(), from_hundredths(taken)),
-            "deadline_timestamp": F.when(
-                hours.isNotNull(),
-                F.col("detection_timestamp") + F.make_dt_interval(F.lit(0), hours, F.lit(0), F.lit(0)),
-            ),
+            "deadline_timestamp": F.col("detection_timestamp")
+            + F.make_dt_interval(F.lit(0), hours, F.lit(0), F.lit(0)),
         }
     )
     deadline = F.col("deadline_timestamp")
-    contained = end.isNotNull()
-    late = taken > hours * F.lit(100)
-    overdue_open = ~contained & (as_of > deadline)
+    limit_hundredths = hours * F.lit(100)
+    # Without deadline hours both comparisons are null, and so are the breach and the overdue hours.
+    overdue = F.when(end.isNotNull(), taken - limit_hundredths).otherwise(hour_hundredths(deadline, as_of))
+    breached = F.when(end.isNotNull(), taken > limit_hundredths).otherwise(as_of > deadline)
     return joined.select(
         *BEFORE_DERIVED,
-        (F.col("notify_required") & contained & (taken <= hours * F.lit(100))).alias("is_within_deadline"),
-        F.when(hours.isNotNull(), F.when(contained, late).otherwise(as_of > deadline)).alias("sla_breached"),
-        F.when(hours.isNotNull() & contained & late, from_hundredths(taken - hours * F.lit(100)))
-        .when(hours.isNotNull() & overdue_open, from_hundredths(hour_hundredths(deadline, as_of)))
-        .alias("hours_overdue"),
+        (F.col("notify_required") & end.isNotNull() & (taken <= limit_hundredths)).alias("is_within_deadline"),
+        breached.alias("sla_breached"),
+        F.when(breached, from_hundredths(overdue)).alias("hours_overdue"),
     )

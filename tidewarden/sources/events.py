@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,7 @@ from tidewarden.config import (
     WireNames,
 )
 from tidewarden.functions import jsontext, keys
+from tidewarden.functions.plan import computed_once
 
 # Text forms that coerce to a value.
 TRUE_TEXTS = ("1", "true", "t", "yes", "y", "on")
@@ -27,6 +30,8 @@ TIME_TEXT = (
 )
 # Above this a bare number is milliseconds, not seconds, since 1970.
 LARGEST_SECONDS = 2e10
+LARGEST_MILLIS = 2.5e14
+OBJECT_TEXT = r"(?s)^\s*\{.*\}\s*$"
 
 CORRUPT = "_corrupt"
 DEFAULTED = ("incident_id", "incident_ts")
@@ -38,71 +43,75 @@ LITERALS = {
 }
 
 
-def _kind(node: Column) -> Column:
-    return F.schema_of_variant(node)
+@dataclass(frozen=True)
+class Node:
+    """A JSON value: the variant itself, the name of its type, and its text."""
+
+    value: Column
+    kind: Column
+    text: Column
 
+    @property
+    def is_scalar(self) -> Column:
+        return ~self.kind.rlike("^(ARRAY|OBJECT|VOID)")
 
-def _text(node: Column) -> Column:
-    return F.try_variant_get(node, "$", "string")
+    def get(self, kind: str) -> Column:
+        return F.try_variant_get(self.value, "$", kind)
 
 
-def _string(node: Column) -> Column:
-    return F.when(_kind(node) == "STRING", _text(node))
+def _string(node: Node) -> Column:
+    return F.when(node.kind == "STRING", node.text)
 
 
-def _uuid(node: Column) -> Column:
-    bare = F.regexp_replace(_string(node), r"[{}]", "")
+def _uuid(node: Node) -> Column:
+    bare = F.regexp_replace(node.text, r"[{}]", "")
     digits = F.lower(F.replace(F.regexp_replace(bare, "(?i)^urn:uuid:", ""), F.lit("-")))
     shaped = F.regexp_replace(digits, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
-    return F.when(bare.rlike(UUID_TEXT), shaped)
+    return F.when((node.kind == "STRING") & bare.rlike(UUID_TEXT), shaped)
 
 
-def _number(node: Column) -> Column:
-    kind, text = _kind(node), _text(node)
-    return (
-        F.when(kind == "STRING", F.when(text.rlike(NUMBER_TEXT), F.trim(text).try_cast("double")))
-        .when(kind == "BOOLEAN", F.try_variant_get(node, "$", "boolean").cast("double"))
-        .when(~kind.rlike("^(ARRAY|OBJECT|VOID)"), F.try_variant_get(node, "$", "double"))
-    )
+def _number(node: Node) -> Column:
+    from_text = F.when(node.text.rlike(NUMBER_TEXT), F.trim(node.text).try_cast("double"))
+    return F.when(node.kind == "STRING", from_text).when(node.is_scalar, node.get("double"))
 
 
-def _integer(node: Column) -> Column:
-    value = _number(node)
-    whole = (value == F.floor(value)) & value.between(-2147483648.0, 2147483647.0)
-    text_ok = (_kind(node) != "STRING") | _text(node).rlike(INTEGER_TEXT)
-    return F.when(text_ok & ~F.isnan(value) & whole, value.cast("int"))
+def _integer(node: Node) -> Column:
+    text_ok = (node.kind != "STRING") | node.text.rlike(INTEGER_TEXT)
+    exact = _number(node).try_cast("decimal(20,6)")
+    return F.when(text_ok & (exact == F.floor(exact)), exact.try_cast("int"))
 
 
-def _boolean(node: Column) -> Column:
-    kind, text = _kind(node), F.lower(_text(node))
-    number = F.try_variant_get(node, "$", "double")
+def _boolean(node: Node) -> Column:
+    word = F.lower(node.text)
+    from_text = F.when(word.isin(*TRUE_TEXTS), True).when(word.isin(*FALSE_TEXTS), False)
+    number = node.get("double")
+    from_number = F.when(number == 1, True).when(number == 0, False)
     return (
-        F.when(kind == "BOOLEAN", F.try_variant_get(node, "$", "boolean"))
-        .when(kind == "STRING", F.when(text.isin(*TRUE_TEXTS), True).when(text.isin(*FALSE_TEXTS), False))
-        .when(~kind.rlike("^(ARRAY|OBJECT|VOID)"), F.when(number == 1, True).when(number == 0, False))
+        F.when(node.kind == "BOOLEAN", node.get("boolean"))
+        .when(node.kind == "STRING", from_text)
+        .when(node.is_scalar, from_number)
     )
 
 
-def _timestamp(node: Column) -> Column:
-    text = _text(node)
-    # Spark wants an upper-case zone, a blank or T between the parts, and a point in the fraction.
-    spelled = F.replace(F.translate(F.upper(text), "_,", " ."), F.lit("T"), F.lit(" "))
-    seconds = _number(node)
-    micros = F.when(F.abs(seconds) <= LARGEST_SECONDS, seconds * 1e6).otherwise(seconds * 1e3)
-    from_number = F.when(F.abs(micros) < 2.5e17, F.timestamp_micros(F.rint(micros).cast("bigint")))
-    return F.when(
-        _kind(node) == "STRING",
-        F.when(text.rlike(TIME_TEXT), spelled.try_cast("timestamp")).otherwise(from_number),
-    ).otherwise(F.when(_kind(node) != "BOOLEAN", from_number))
+def _timestamp(node: Node) -> Column:
+    # Spark wants an upper-case zone, a blank between the parts, and a point in the fraction.
+    spelled = F.translate(F.upper(node.text), "T_,", "  .")
+    seconds = F.when(node.kind != "BOOLEAN", _number(node))
+    scale = F.when(F.abs(seconds) <= LARGEST_SECONDS, 1e6).otherwise(1e3)
+    micros = F.rint(seconds * scale).try_cast("bigint")
+    from_number = F.when(F.abs(seconds) < LARGEST_MILLIS, F.timestamp_micros(micros))
+    is_time = (node.kind == "STRING") & node.text.rlike(TIME_TEXT)
+    return F.when(is_time, spelled.try_cast("timestamp")).otherwise(from_number)
 
 
-def _string_list(node: Column) -> Column:
-    items = F.try_variant_get(node, "$", "array<variant>")
-    all_text = F.forall(items, lambda v: F.coalesce(_kind(v) == "STRING", F.lit(False)))
-    return F.when(_kind(node).startswith("ARRAY") & all_text, F.transform(items, _text))
+def _string_list(node: Node) -> Column:
+    items = node.get("array<variant>")
+    all_text = F.forall(items, lambda v: F.coalesce(F.schema_of_variant(v) == "STRING", F.lit(False)))
+    texts = F.transform(items, lambda v: F.try_variant_get(v, "$", "string"))
+    return F.when(node.kind.startswith("ARRAY") & all_text, texts)
 
 
-def _typed(name: str, kind: T.DataType, node: Column) -> Column:
+def _typed(name: str, kind: T.DataType, node: Node) -> Column:
     if name == "incident_id":
         return _uuid(node)
     if isinstance(kind, T.StringType):
@@ -140,22 +149,31 @@ def parse(raw: DataFrame, batch_ts: Column, names: WireNames = WireNames()) -> D
     text = F.col("value").cast("string")
     # The options also accept bare NaN and Infinity, which producers in some languages write.
     doc = F.from_json(text, wire, {"columnNameOfCorruptRecord": CORRUPT, "allowNonNumericNumbers": "true"})
-    parsed = raw.select(text.alias("value"), batch_ts.alias("processed_at"), doc.alias("doc"))
-
-    node = {name: F.col("doc").getField(key) for name, key in pairs}
-    given = {name: node[name].isNotNull() & ~F.is_variant_null(node[name]) for name, _ in pairs}
+    broken = F.col("doc").isNull() | F.col("doc").getField(CORRUPT).isNotNull() | ~F.col("value").rlike(OBJECT_TEXT)
+    parsed = computed_once(
+        raw.select(text.alias("value"), batch_ts.alias("processed_at"), doc.alias("doc")),
+        {f"node_{name}": F.col("doc").getField(key) for name, key in pairs}
+        | {"bad_json": F.coalesce(broken, F.lit(True))},
+    ).drop("doc")
+    described = computed_once(
+        parsed,
+        {f"kind_{name}": F.schema_of_variant(F.col(f"node_{name}")) for name, _ in pairs}
+        | {f"text_{name}": F.try_variant_get(F.col(f"node_{name}"), "$", "string") for name, _ in pairs},
+    )
+    node = {n: Node(F.col(f"node_{n}"), F.col(f"kind_{n}"), F.col(f"text_{n}")) for n, _ in pairs}
+    given = {n: F.coalesce(node[n].kind != "VOID", F.lit(False)) for n, _ in pairs}
     # A JSON null is an error for an id or a time; only a missing key gets the default.
-    asked = {n: (node[n].isNotNull() if n in DEFAULTED else given[n]) for n in given}
-
-    typed = parsed.select(
-        "value",
-        "processed_at",
-        *[_typed(name, kinds[name], node[name]).alias(name) for name, _ in pairs],
-        (
-            F.col("doc").isNull() | F.col("doc").getField(CORRUPT).isNotNull() | ~text.rlike(r"(?s)^\s*\{.*\}\s*$")
-        ).alias("bad_json"),
-        _any([~given[n] for n in REQUIRED if n not in DEFAULTED]).alias("is_missing"),
-        *[asked[name].alias(f"asked_{name}") for name, _ in pairs],
+    asked = {n: (node[n].kind.isNotNull() if n in DEFAULTED else given[n]) for n in given}
+    typed = computed_once(
+        described.select(
+            "value",
+            "processed_at",
+            "bad_json",
+            *[v for n, _ in pairs for v in (f"node_{n}", f"kind_{n}", f"text_{n}")],
+        ),
+        {n: _typed(n, kinds[n], node[n]) for n, _ in pairs}
+        | {f"asked_{n}": asked[n] for n, _ in pairs}
+        | {"is_missing": _any([~given[n] for n in REQUIRED if n not in DEFAULTED])},
     )
     wrong_literal = _any(
         [
@@ -165,7 +183,7 @@ def parse(raw: DataFrame, batch_ts: Column, names: WireNames = WireNames()) -> D
     )
     wrong_type = _any([F.col(f"asked_{name}") & F.col(name).isNull() for name, _ in pairs])
     reason = (
-        F.when(F.coalesce(F.col("bad_json"), F.lit(True)), F.lit("json"))
+        F.when(F.col("bad_json"), F.lit("json"))
         .when(F.col("is_missing"), F.lit("missing"))
         .when(wrong_literal, F.lit("literal"))
         .when(wrong_type, F.lit("type"))
