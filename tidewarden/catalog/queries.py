@@ -13,7 +13,7 @@ from tidewarden import schemas
 from tidewarden.catalog import derived as given
 from tidewarden.config import JobConfig, Thresholds
 from tidewarden.functions.jsontext import list_text
-from tidewarden.functions.session import fresh_dir, use_utc
+from tidewarden.functions.session import fresh_dir, prepare
 from tidewarden.operators import audit as auditing
 from tidewarden.operators import charts, classify, deadlines, incremental, marts, quality, staging, summary
 from tidewarden.operators.enrich import enrich
@@ -31,11 +31,13 @@ TOPICS = JobConfig().tier_topics
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Times without a zone and lists as JSON text, so that any engine shows the same values."""
+    """Times without a zone, days and lists as text, so that any engine shows the same values."""
     columns = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.TimestampType):
             columns.append(F.col(f.name).cast("timestamp_ntz").alias(f.name))
+        elif isinstance(f.dataType, T.DateType):
+            columns.append(F.col(f.name).cast("string").alias(f.name))
         elif isinstance(f.dataType, T.ArrayType):
             columns.append(list_text(F.col(f.name)).alias(f.name))
         else:
@@ -47,7 +49,7 @@ def query(build: Query) -> Query:
     """Register a query under its function name."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return plain(build(use_utc(spark), sf_dir))
+        return plain(build(prepare(spark), sf_dir))
 
     run.__name__ = build.__name__
     QUERIES[build.__name__] = run

@@ -17,3 +17,13 @@ def computed_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     kept = [c for c in df.columns if c not in columns]
     made = F.struct(*[value.alias(name) for name, value in columns.items()])
     return df.select(*kept, F.inline(F.array(made)))
+
+
+def pinned(column: Column) -> Column:
+    """The same value, which Spark will not copy into a filter above the projection.
+
+    The partition number is never negative and stays the same when a task is run again, but Spark
+    counts it as non-deterministic and leaves the projection where it is. Columns that nobody reads
+    are still pruned.
+    """
+    return F.when(F.spark_partition_id() >= 0, column)

@@ -8,9 +8,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the session time zone: day and month boundaries are UTC."""
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings of the session the operators are written for."""
+    # Day and month boundaries are UTC.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # The JVM does not compile methods above 8000 bytes of bytecode. Wide projections exceed that when
+    # a whole stage is one method; below the limit Spark generates one small method per expression.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 

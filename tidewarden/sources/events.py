@@ -17,17 +17,19 @@ from tidewarden.config import (
     WireNames,
 )
 from tidewarden.functions import jsontext, keys
-from tidewarden.functions.plan import computed_once
+from tidewarden.functions.plan import pinned
 
 # Text forms that coerce to a value.
 TRUE_TEXTS = ("1", "true", "t", "yes", "y", "on")
 FALSE_TEXTS = ("0", "false", "f", "no", "n", "off")
 UUID_TEXT = r"(?i)^(urn:uuid:)?([0-9a-f]{32}|[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12})$"
+USUAL_UUID = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 NUMBER_TEXT = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 INTEGER_TEXT = r"^\s*[+-]?\d+(\.0*)?\s*$"
 TIME_TEXT = (
     r"(?i)^\d{4}-\d{2}-\d{2}([t _]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?(z|[+-]\d{2}:?\d{2})?)?$"
 )
+USUAL_TIME = r"^\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\d(\.\d{1,6})?([+-]\d\d:\d\d|Z)?$"
 # Above this a bare number is milliseconds, not seconds, since 1970.
 LARGEST_SECONDS = 2e10
 LARGEST_MILLIS = 2.5e14
@@ -67,7 +69,8 @@ def _uuid(node: Node) -> Column:
     bare = F.regexp_replace(node.text, r"[{}]", "")
     digits = F.lower(F.replace(F.regexp_replace(bare, "(?i)^urn:uuid:", ""), F.lit("-")))
     shaped = F.regexp_replace(digits, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
-    return F.when((node.kind == "STRING") & bare.rlike(UUID_TEXT), shaped)
+    usual = F.when(node.text.rlike(USUAL_UUID), node.text)
+    return F.when(node.kind == "STRING", usual.when(bare.rlike(UUID_TEXT), shaped))
 
 
 def _number(node: Node) -> Column:
@@ -94,14 +97,19 @@ def _boolean(node: Node) -> Column:
 
 
 def _timestamp(node: Node) -> Column:
-    # Spark wants an upper-case zone, a blank between the parts, and a point in the fraction.
-    spelled = F.translate(F.upper(node.text), "T_,", "  .")
+    text = node.text
+    # Reading a zone costs more than the rest; UTC is the session's zone and needs none.
+    bare = F.left(text, F.length(text) - F.when(text.endswith("+00:00"), 6).when(text.endswith("Z"), 1).otherwise(0))
+    # Otherwise Spark wants an upper-case zone, a blank between the parts, and a point in the fraction.
+    spelled = F.translate(F.upper(text), "T_,", "  .")
+    from_text = F.when(text.rlike(USUAL_TIME), bare.try_cast("timestamp")).when(
+        text.rlike(TIME_TEXT), spelled.try_cast("timestamp")
+    )
     seconds = F.when(node.kind != "BOOLEAN", _number(node))
     scale = F.when(F.abs(seconds) <= LARGEST_SECONDS, 1e6).otherwise(1e3)
     micros = F.rint(seconds * scale).try_cast("bigint")
     from_number = F.when(F.abs(seconds) < LARGEST_MILLIS, F.timestamp_micros(micros))
-    is_time = (node.kind == "STRING") & node.text.rlike(TIME_TEXT)
-    return F.when(is_time, spelled.try_cast("timestamp")).otherwise(from_number)
+    return F.coalesce(F.when(node.kind == "STRING", from_text), from_number)
 
 
 def _string_list(node: Node) -> Column:
@@ -150,30 +158,29 @@ def parse(raw: DataFrame, batch_ts: Column, names: WireNames = WireNames()) -> D
     # The options also accept bare NaN and Infinity, which producers in some languages write.
     doc = F.from_json(text, wire, {"columnNameOfCorruptRecord": CORRUPT, "allowNonNumericNumbers": "true"})
     broken = F.col("doc").isNull() | F.col("doc").getField(CORRUPT).isNotNull() | ~F.col("value").rlike(OBJECT_TEXT)
-    parsed = computed_once(
-        raw.select(text.alias("value"), batch_ts.alias("processed_at"), doc.alias("doc")),
-        {f"node_{name}": F.col("doc").getField(key) for name, key in pairs}
-        | {"bad_json": F.coalesce(broken, F.lit(True))},
-    ).drop("doc")
-    described = computed_once(
-        parsed,
-        {f"kind_{name}": F.schema_of_variant(F.col(f"node_{name}")) for name, _ in pairs}
-        | {f"text_{name}": F.try_variant_get(F.col(f"node_{name}"), "$", "string") for name, _ in pairs},
+    parsed = raw.select(text.alias("value"), batch_ts.alias("processed_at"), doc.alias("doc"))
+    described = parsed.select(
+        "value",
+        "processed_at",
+        F.coalesce(broken, F.lit(True)).alias("bad_json"),
+        *[F.col("doc").getField(key).alias(f"node_{name}") for name, key in pairs],
+        *[F.schema_of_variant(F.col("doc").getField(key)).alias(f"kind_{name}") for name, key in pairs],
+        *[
+            F.try_variant_get(F.col("doc").getField(key), "$", "string").alias(f"text_{name}")
+            for name, key in pairs
+        ],
     )
     node = {n: Node(F.col(f"node_{n}"), F.col(f"kind_{n}"), F.col(f"text_{n}")) for n, _ in pairs}
     given = {n: F.coalesce(node[n].kind != "VOID", F.lit(False)) for n, _ in pairs}
     # A JSON null is an error for an id or a time; only a missing key gets the default.
     asked = {n: (node[n].kind.isNotNull() if n in DEFAULTED else given[n]) for n in given}
-    typed = computed_once(
-        described.select(
-            "value",
-            "processed_at",
-            "bad_json",
-            *[v for n, _ in pairs for v in (f"node_{n}", f"kind_{n}", f"text_{n}")],
-        ),
-        {n: _typed(n, kinds[n], node[n]) for n, _ in pairs}
-        | {f"asked_{n}": asked[n] for n, _ in pairs}
-        | {"is_missing": _any([~given[n] for n in REQUIRED if n not in DEFAULTED])},
+    typed = described.select(
+        "value",
+        "processed_at",
+        "bad_json",
+        _any([~given[n] for n in REQUIRED if n not in DEFAULTED]).alias("is_missing"),
+        *[_typed(n, kinds[n], node[n]).alias(n) for n, _ in pairs],
+        *[asked[n].alias(f"asked_{n}") for n, _ in pairs],
     )
     wrong_literal = _any(
         [
@@ -196,7 +203,8 @@ def parse(raw: DataFrame, batch_ts: Column, names: WireNames = WireNames()) -> D
         *[filled.get(name, F.col(name)).alias(name) for name, _ in pairs],
         "value",
         "processed_at",
-        reason.alias("error_reason"),
+        # A filter on the reason must not pull a copy of the whole parse below it.
+        pinned(reason).alias("error_reason"),
     )
 
 

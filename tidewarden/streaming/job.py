@@ -18,6 +18,7 @@ from tidewarden.operators import classify as rules
 from tidewarden.operators.summary import batch_summary
 from tidewarden.sources import events, tables
 
+ASSIGNED = ("severity", "notify_required", "notify_deadline_hours")
 BATCH_DIRS = T.StructType(
     [T.StructField("query_id", T.StringType()), T.StructField("batch_id", T.LongType())]
 )
@@ -67,32 +68,41 @@ def prepare(raw: DataFrame, names: WireNames = WireNames(), dedup_within: str |
     )
 
 
+def _settle(parsed: DataFrame, sinks: Sinks) -> DataFrame:
+    """Everything the sinks need of each record, side by side: as it arrived, as classified, its hash."""
+    arrived = parsed.withColumns({f"arrived_{name}": F.col(name) for name in ASSIGNED})
+    classified = rules.add_reason(rules.classify(arrived, sinks.thresholds), sinks.thresholds)
+    return auditing.with_hash(classified, sinks.names)
+
+
+def _as_arrived(good: DataFrame) -> DataFrame:
+    given = {name: F.col(f"arrived_{name}") for name in ASSIGNED}
+    return good.withColumns(given)
+
+
 def write_batch(parsed: DataFrame, batch_id: int, sinks: Sinks) -> None:
     """Write one decoded micro-batch: raw landing, classified, audit, messages, rejects, counts."""
     spark = parsed.sparkSession
-    batch = parsed.persist(sinks.storage_level)
+    batch = _settle(parsed, sinks).persist(sinks.storage_level)
     try:
-        arrived = batch.filter(F.col("error_reason").isNull())
-        classified = rules.add_reason(rules.classify(arrived, sinks.thresholds), sinks.thresholds)
-        hashed = auditing.with_hash(classified, sinks.names)
-
+        good = batch.filter(F.col("error_reason").isNull())
+        stored = sinks.folder("incidents_classified", batch_id)
+        rejected = sinks.folder("rejected", batch_id)
         tables.write_rows(
-            arrived, sinks.folder("incidents_raw", batch_id), "incidents_raw", "overwrite"
+            _as_arrived(good), sinks.folder("incidents_raw", batch_id), "incidents_raw", "overwrite"
         )
-        stored = sinks.folder("incidents_classified", batch_id)
-        tables.write_rows(classified, stored, "incidents_classified", "overwrite")
+        tables.write_rows(good, stored, "incidents_classified", "overwrite")
         tables.write_rows(
-            auditing.audit(hashed, F.col("processed_at")),
+            auditing.audit(good, F.col("processed_at")),
             sinks.folder("audit_log", batch_id),
             "audit_log",
             "overwrite",
         )
-        messages = events.enriched_messages(hashed, sinks.config.enriched_topic, sinks.names)
+        messages = events.enriched_messages(good, sinks.config.enriched_topic, sinks.names)
         if sinks.publish is not None:
             sinks.publish(messages, sinks.config)
         else:
             messages.write.mode("overwrite").parquet(sinks.folder("messages", batch_id))
-        rejected = sinks.folder("rejected", batch_id)
         events.rejected_rows(batch).write.mode("overwrite").parquet(rejected)
 
         # Counted from what was written, which a repeated task cannot count twice.
