@@ -21,8 +21,8 @@ SHORT_ESCAPES = (
     ("\f", "\\f"),
 )
 # Printable ASCII without the quote and the backslash needs no escape at all.
-PLAIN_TEXT = r"^[ !#-\[\]-~\x7f]*$"
-NEEDS_UNICODE_ESCAPE = r"[^\x00-\x7f]|[\x00-\x1f]"
+PLAIN_TEXT = r"^[ !#-\[\]-~]*$"
+NEEDS_UNICODE_ESCAPE = r"[^ -~]"
 
 
 def _short_escaped(text: Column) -> Column:
@@ -37,7 +37,7 @@ def _unicode_escaped(text: Column) -> Column:
     spelled = F.transform(
         units,
         lambda u: F.when(
-            u.between("0020", "007F"), F.char(F.conv(u, 16, 10).cast("bigint"))
+            u.between("0020", "007E"), F.char(F.conv(u, 16, 10).cast("bigint"))
         ).otherwise(F.concat(F.lit("\\u"), F.lower(u))),
     )
     return F.array_join(spelled, "")
