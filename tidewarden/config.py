@@ -95,6 +95,10 @@ class JobConfig:
     )
     enriched_topic: str = "incidents.enriched"
     starting_offsets: str = "latest"
+    # Bounds the first batch after a pause; None takes all that has arrived.
+    max_offsets_per_trigger: int | None = None
+    # More tasks than topic partitions; None is one task per topic partition.
+    min_partitions: int | None = None
     trigger_seconds: int = 10
 
     @classmethod

@@ -11,14 +11,15 @@ from tidewarden.config import JobConfig
 
 def kafka_stream(spark: SparkSession, config: JobConfig) -> DataFrame:
     """The tier topics as one stream with a `value` text column."""
-    return (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", config.brokers)
-        .option("subscribe", config.source_topics)
-        .option("startingOffsets", config.starting_offsets)
-        .load()
-        .selectExpr("CAST(value AS STRING) AS value")
-    )
+    options = {
+        "kafka.bootstrap.servers": config.brokers,
+        "subscribe": config.source_topics,
+        "startingOffsets": config.starting_offsets,
+        "maxOffsetsPerTrigger": config.max_offsets_per_trigger,
+        "minPartitions": config.min_partitions,
+    }
+    given = {name: value for name, value in options.items() if value is not None}
+    return spark.readStream.format("kafka").options(**given).load().selectExpr("CAST(value AS STRING) AS value")
 
 
 def write_kafka(messages: DataFrame, config: JobConfig) -> None:
