@@ -98,6 +98,8 @@ def test_scheduled_run(spark, tmp_path):
     assert second.alerts.first()["compliance_rate_pct"] == 0.0
     assert second.vendor_risk.first()["concentration_risk_tier"] == "HIGH"
     assert second.breaches.filter("sla_breached").count() == 4
+    assert spark.sql("SELECT sum(incident_count_total) FROM regulatory_report").first()[0] == 4
+    assert spark.table("incidents_derived").count() == 4
     third = run_scheduled(spark, source, names, paths, as_of, "r3")
     assert third.loaded_count == 0
     log = {r["run_id"]: (r["record_count"], r["loaded_count"], r["runtime_seconds"]) for r in read_run_log(spark, paths).collect()}

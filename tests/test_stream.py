@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from tests.frames import incidents
+from tests.frames import incidents, vendors
 from tidewarden import Thresholds
 from tidewarden.operators import classify
 from tidewarden.sources import events, external
@@ -95,9 +95,16 @@ def test_repeated_messages_are_dropped_within_the_time(spark, tmp_path):
 def test_publish_receives_the_messages(spark, tmp_path):
     source = write_messages(tmp_path / "in", spark, [texts(sample(spark, 0, 4))])
     seen = []
-    sinks = job.Sinks(str(tmp_path / "out"), "q", publish=lambda df, config: seen.append((df.count(), config.enriched_topic)))
-    query = run(source, sinks, tmp_path / "cp")
-    assert seen == [(4, "incidents.enriched")]
+    names = vendors(spark, ("AWS", "cloud", False, True, 5))
+
+    def publish(df, config):
+        seen.append((config.enriched_topic, [json.loads(r["value"]) for r in df.collect()]))
+
+    query = run(source, job.Sinks(str(tmp_path / "out"), "q", publish=publish, vendors=names), tmp_path / "cp")
+    (topic, messages), = seen
+    assert topic == "incidents.enriched" and len(messages) == 4
+    assert {m["severity_label"] for m in messages} == {"Minor — internal logging only"}
+    assert all(m["vendor_known"] is False and m["vendor_type"] is None and len(m) == 26 for m in messages)
     job.stop_gracefully(query)
     assert not query.isActive
 

@@ -69,7 +69,8 @@ def run_scheduled(
     """Run the chain for a time given as UTC text. A failed check stops it before any mart is built.
 
     The shared layer is a plan, not a table: it is a projection with one broadcast join, so each mart
-    scans only the columns it needs instead of all of them being written and read back.
+    scans only the columns it needs instead of all of them being written and read back. Staging and
+    the shared layer become views and the marts tables, each with a temporary view for SQL.
     """
     loaded = load_new(spark, source, paths.landed)
     landed = tables.read_rows(spark, paths.landed, TABLE)
@@ -78,12 +79,24 @@ def run_scheduled(
     quality.gate(checks)
 
     now = F.lit(as_of).cast("timestamp")
-    derived = derive(staging.stage_incidents(landed), staging.stage_vendors(vendors), now)
+    staged, names = staging.stage_incidents(landed), staging.stage_vendors(vendors)
+    derived = derive(staged, names, now)
     report = tables.materialise(marts.regulatory_report(derived), paths.mart("regulatory_report"))
     risk = tables.materialise(marts.vendor_risk(derived, now), paths.mart("vendor_risk"))
     breaches = tables.materialise(marts.breach_register(derived), paths.mart("breach_register"))
     alerts = tables.materialise(marts.compliance_alerts(report), paths.log(f"alerts/run_id={run_id}"))
 
+    views = {
+        "stg_incidents": staged,
+        "stg_vendors": names,
+        "incidents_derived": derived,
+        "regulatory_report": report,
+        "vendor_risk": risk,
+        "breach_register": breaches,
+    }
+    for name, frame in views.items():
+        frame.createOrReplaceTempView(name)
+
     incremental.run_log(landed, loaded, run_id, now, runtime_seconds).write.mode("append").parquet(
         paths.log("runs")
     )

@@ -38,6 +38,15 @@ OBJECT_TEXT = r"(?s)^\s*\{.*\}\s*$"
 CORRUPT = "_corrupt"
 DEFAULTED = ("incident_id", "incident_ts")
 REQUIRED = tuple(f.name for f in schemas.INCIDENT.fields if not f.nullable)
+ENRICHED = (
+    "severity_label",
+    "vendor_known",
+    "vendor_type",
+    "vendor_eu_headquartered",
+    "vendor_designated_critical",
+    "vendor_concentration_risk_score",
+    "vendor_is_hyperscaler",
+)
 LITERALS = {
     "institution_type": INSTITUTION_TYPES,
     "incident_type": INCIDENT_TYPES,
@@ -237,14 +246,17 @@ def enriched_messages(
 ) -> DataFrame:
     """(topic, key, value) messages: the classified event, its reason and its lineage.
 
-    Expects the classified columns plus `processed_at` and `record_hash`.
+    Expects the classified columns plus `processed_at` and `record_hash`. The columns that `enrich`
+    adds are included where the frame has them.
     """
     text = T.StringType()
+    kinds = {f.name: f.dataType for f in audited.schema.fields}
     members = keys.event_members(names) + [
         ("classification_reason", jsontext.value_text(F.col("classification_reason"), text)),
         ("processed_at", jsontext.value_text(F.col("processed_at"), T.TimestampType())),
         ("pipeline_version", jsontext.value_text(F.lit(PIPELINE_VERSION), text)),
         ("record_hash", jsontext.value_text(F.col("record_hash"), text)),
+        *[(n, jsontext.value_text(F.col(n), kinds[n])) for n in ENRICHED if n in kinds],
     ]
     return audited.select(
         F.lit(topic).alias("topic"),

@@ -15,6 +15,7 @@ from tidewarden import schemas
 from tidewarden.config import JobConfig, Thresholds, WireNames
 from tidewarden.operators import audit as auditing
 from tidewarden.operators import classify as rules
+from tidewarden.operators.enrich import enrich
 from tidewarden.operators.summary import batch_summary
 from tidewarden.sources import events, tables
 
@@ -32,6 +33,7 @@ class Sinks:
     so running it again after a failure leaves the same rows. Use a new `query_id` with a new
     checkpoint, whose batches count from 0 again. `publish` receives the enriched messages, or they
     are written below `root` like the rest; an outside system may see a batch's messages twice.
+    With `vendors` the messages also carry the severity label and the vendor's attributes.
     """
 
     root: str
@@ -40,6 +42,7 @@ class Sinks:
     names: WireNames = field(default_factory=WireNames)
     thresholds: Thresholds = field(default_factory=Thresholds)
     publish: Callable[[DataFrame, JobConfig], None] | None = None
+    vendors: DataFrame | None = None
     storage_level: StorageLevel = field(default_factory=lambda: StorageLevel.MEMORY_AND_DISK)
 
     def folder(self, table: str, batch_id: int) -> str:
@@ -61,10 +64,11 @@ def prepare(raw: DataFrame, names: WireNames = WireNames(), dedup_within: str |
         F.sha2(F.col("value"), 256)
     )
     return (
-        parsed.withColumn("identity", identity)
+        parsed.withColumns({"identity": identity, "lane": F.spark_partition_id()})
         .withWatermark("processed_at", dedup_within)
+        .dropDuplicatesWithinWatermark(["identity", "lane"])
         .dropDuplicatesWithinWatermark(["identity"])
-        .drop("identity")
+        .drop("identity", "lane")
     )
 
 
@@ -98,7 +102,8 @@ def write_batch(parsed: DataFrame, batch_id: int, sinks: Sinks) -> None:
             "audit_log",
             "overwrite",
         )
-        messages = events.enriched_messages(good, sinks.config.enriched_topic, sinks.names)
+        told = good if sinks.vendors is None else enrich(good, sinks.vendors)
+        messages = events.enriched_messages(told, sinks.config.enriched_topic, sinks.names)
         if sinks.publish is not None:
             sinks.publish(messages, sinks.config)
         else:
