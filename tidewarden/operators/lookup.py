@@ -34,9 +34,9 @@ def hot_keys(facts: DataFrame, key: str) -> DataFrame:
     return counts.filter(F.col("n") * F.lit(HOT_SHARE) >= F.lit(total)).select("hot_key")
 
 
-def row_spread(columns: list[str]) -> Column:
-    """A number that spreads rows, exact copies too, and is the same when a task is run again."""
-    return F.xxhash64(F.spark_partition_id(), *columns)
+def row_spread() -> Column:
+    """A positive number per input task: the same when the task is run again, and it reads no column."""
+    return (F.spark_partition_id() + 1).cast("bigint")
 
 
 def left_lookup(
@@ -72,8 +72,9 @@ def left_lookup(
     )
     first = facts.join(F.broadcast(hot), F.col(fact_key) == F.col("hot_key"), "left")
     cold_key = F.when(F.col("hot_key").isNull(), F.col(fact_key))
-    # Rows with no key left to look up match nothing; they are spread instead of meeting in one task.
-    spread = F.when(cold_key.isNull(), row_spread(facts.columns)).otherwise(F.lit(0).cast("bigint"))
+    # Rows with no key left to look up match nothing. They are spread by input task instead of meeting
+    # in one task: at most what one input task holds goes the same way.
+    spread = F.when(cold_key.isNull(), row_spread()).otherwise(F.lit(0).cast("bigint"))
     second = first.withColumns({"cold_key": cold_key, "spread": spread}).join(
         packed.withColumn("dim_spread", F.lit(0).cast("bigint")),
         (F.col("cold_key") == F.col("dim_key")) & (F.col("spread") == F.col("dim_spread")),
