@@ -33,9 +33,11 @@ USUAL_TIME = r"^\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\d(\.\d{1,6})?([+-]\d\d:\d\d|Z)?$
 # Above this a bare number is milliseconds, not seconds, since 1970.
 LARGEST_SECONDS = 2e10
 LARGEST_MILLIS = 2.5e14
-OBJECT_TEXT = r"(?s)^\s*\{.*\}\s*$"
+BARE_NUMBERS = ('"NaN"', '"Infinity"', '"-Infinity"')
 
 CORRUPT = "_corrupt"
+# Any text is a valid value, so only the JSON type tells a string from a number or an object.
+FREE_TEXT = ("institution_id", "ict_third_party_provider", "affected_systems")
 DEFAULTED = ("incident_id", "incident_ts")
 REQUIRED = tuple(f.name for f in schemas.INCIDENT.fields if not f.nullable)
 ENRICHED = (
@@ -56,15 +58,18 @@ LITERALS = {
 
 @dataclass(frozen=True)
 class Node:
-    """A JSON value: the variant itself, the name of its type, and its text."""
+    """A JSON value: its text, and the value itself for the few texts that leave its type open.
+
+    The text is decoded with the message. The value of most keys is parsed again, which is paid only
+    by records where a column asks for it.
+    """
 
-    value: Column
-    kind: Column
     text: Column
+    value: Column
 
     @property
-    def is_scalar(self) -> Column:
-        return ~self.kind.rlike("^(ARRAY|OBJECT|VOID)")
+    def kind(self) -> Column:
+        return F.schema_of_variant(self.value)
 
     def get(self, kind: str) -> Column:
         return F.try_variant_get(self.value, "$", kind)
@@ -78,30 +83,29 @@ def _uuid(node: Node) -> Column:
     bare = F.regexp_replace(node.text, r"[{}]", "")
     digits = F.lower(F.replace(F.regexp_replace(bare, "(?i)^urn:uuid:", ""), F.lit("-")))
     shaped = F.regexp_replace(digits, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
-    usual = F.when(node.text.rlike(USUAL_UUID), node.text)
-    return F.when(node.kind == "STRING", usual.when(bare.rlike(UUID_TEXT), shaped))
+    unusual = F.when(bare.rlike(UUID_TEXT) & (node.kind == "STRING"), shaped)
+    return F.when(node.text.rlike(USUAL_UUID), node.text).otherwise(unusual)
 
 
 def _number(node: Node) -> Column:
-    from_text = F.when(node.text.rlike(NUMBER_TEXT), F.trim(node.text).try_cast("double"))
-    return F.when(node.kind == "STRING", from_text).when(node.is_scalar, node.get("double"))
+    from_flag = F.when(node.kind == "BOOLEAN", node.get("double"))
+    return F.when(node.text.rlike(NUMBER_TEXT), F.trim(node.text).try_cast("double")).otherwise(from_flag)
 
 
 def _integer(node: Node) -> Column:
-    text_ok = (node.kind != "STRING") | node.text.rlike(INTEGER_TEXT)
     exact = _number(node).try_cast("decimal(20,6)")
-    return F.when(text_ok & (exact == F.floor(exact)), exact.try_cast("int"))
+    fits = (exact == F.floor(exact)) & (node.text.rlike(INTEGER_TEXT) | (node.kind != "STRING"))
+    return F.when(fits, exact.try_cast("int"))
 
 
 def _boolean(node: Node) -> Column:
     word = F.lower(node.text)
-    from_text = F.when(word.isin(*TRUE_TEXTS), True).when(word.isin(*FALSE_TEXTS), False)
-    number = node.get("double")
-    from_number = F.when(number == 1, True).when(number == 0, False)
+    from_number = F.when(
+        node.text.rlike(NUMBER_TEXT) & (node.kind != "STRING"),
+        F.when(node.get("double") == 1, True).when(node.get("double") == 0, False),
+    )
     return (
-        F.when(node.kind == "BOOLEAN", node.get("boolean"))
-        .when(node.kind == "STRING", from_text)
-        .when(node.is_scalar, from_number)
+        F.when(word.isin(*TRUE_TEXTS), True).when(word.isin(*FALSE_TEXTS), False).otherwise(from_number)
     )
 
 
@@ -111,24 +115,37 @@ def _timestamp(node: Node) -> Column:
     bare = F.left(text, F.length(text) - F.when(text.endswith("+00:00"), 6).when(text.endswith("Z"), 1).otherwise(0))
     # Otherwise Spark wants an upper-case zone, a blank between the parts, and a point in the fraction.
     spelled = F.translate(F.upper(text), "T_,", "  .")
-    from_text = F.when(text.rlike(USUAL_TIME), bare.try_cast("timestamp")).when(
-        text.rlike(TIME_TEXT), spelled.try_cast("timestamp")
-    )
-    seconds = F.when(node.kind != "BOOLEAN", _number(node))
+    seconds = F.when(text.rlike(NUMBER_TEXT), F.trim(text).try_cast("double"))
     scale = F.when(F.abs(seconds) <= LARGEST_SECONDS, 1e6).otherwise(1e3)
     micros = F.rint(seconds * scale).try_cast("bigint")
     from_number = F.when(F.abs(seconds) < LARGEST_MILLIS, F.timestamp_micros(micros))
-    return F.coalesce(F.when(node.kind == "STRING", from_text), from_number)
+    return (
+        F.when(text.rlike(USUAL_TIME), bare.try_cast("timestamp"))
+        .when(text.rlike(TIME_TEXT), spelled.try_cast("timestamp"))
+        .otherwise(from_number)
+    )
 
 
 def _string_list(node: Node) -> Column:
     items = node.get("array<variant>")
     all_text = F.forall(items, lambda v: F.coalesce(F.schema_of_variant(v) == "STRING", F.lit(False)))
     texts = F.transform(items, lambda v: F.try_variant_get(v, "$", "string"))
-    return F.when(node.kind.startswith("ARRAY") & all_text, texts)
+    return F.when(all_text, texts)
 
 
-def _typed(name: str, kind: T.DataType, node: Node) -> Column:
+def _node_text(name: str, field: Column) -> Column:
+    if name in FREE_TEXT:
+        return F.try_variant_get(field, "$", "string")
+    # Spark keeps bare NaN and Infinity in quotes.
+    return F.when(field.isin(*BARE_NUMBERS), F.btrim(field, F.lit('"'))).otherwise(field)
+
+
+def _parsed_again(key: str) -> Column:
+    field = T.StructType([T.StructField(key, T.VariantType())])
+    return F.from_json(F.col("value"), field, {"allowNonNumericNumbers": "true"}).getField(key)
+
+
+def _coerced(name: str, kind: T.DataType, node: Node) -> Column:
     if name == "incident_id":
         return _uuid(node)
     if isinstance(kind, T.StringType):
@@ -144,6 +161,14 @@ def _typed(name: str, kind: T.DataType, node: Node) -> Column:
     return _string_list(node)
 
 
+def _typed(name: str, kind: T.DataType, node: Node) -> Column:
+    if name in LITERALS:
+        return node.text
+    value = _coerced(name, kind, node)
+    # An absent value needs no look at its type.
+    return value if name in FREE_TEXT else F.when(node.text.isNotNull(), value)
+
+
 def _any(conditions: list[Column]) -> Column:
     combined = conditions[0]
     for condition in conditions[1:]:
@@ -161,28 +186,40 @@ def parse(raw: DataFrame, batch_ts: Column, names: WireNames = WireNames()) -> D
     pairs = names.pairs()
     kinds = {f.name: f.dataType for f in schemas.INCIDENT.fields}
     wire = T.StructType(
-        [T.StructField(key, T.VariantType()) for _, key in pairs] + [T.StructField(CORRUPT, T.StringType())]
+        [T.StructField(key, T.VariantType() if name in FREE_TEXT else T.StringType()) for name, key in pairs]
+        + [T.StructField(CORRUPT, T.StringType())]
     )
     text = F.col("value").cast("string")
     # The options also accept bare NaN and Infinity, which producers in some languages write.
     doc = F.from_json(text, wire, {"columnNameOfCorruptRecord": CORRUPT, "allowNonNumericNumbers": "true"})
-    broken = F.col("doc").isNull() | F.col("doc").getField(CORRUPT).isNotNull() | ~F.col("value").rlike(OBJECT_TEXT)
+    body = F.btrim(F.col("value"), F.lit(" \t\r\n"))
+    whole = body.startswith("{") & body.endswith("}")
+    broken = F.col("doc").isNull() | F.col("doc").getField(CORRUPT).isNotNull() | ~whole
     parsed = raw.select(text.alias("value"), batch_ts.alias("processed_at"), doc.alias("doc"))
     described = parsed.select(
         "value",
         "processed_at",
         F.coalesce(broken, F.lit(True)).alias("bad_json"),
-        *[F.col("doc").getField(key).alias(f"node_{name}") for name, key in pairs],
-        *[F.schema_of_variant(F.col("doc").getField(key)).alias(f"kind_{name}") for name, key in pairs],
-        *[
-            F.try_variant_get(F.col("doc").getField(key), "$", "string").alias(f"text_{name}")
-            for name, key in pairs
-        ],
+        *[_node_text(name, F.col("doc").getField(key)).alias(f"text_{name}") for name, key in pairs],
+        *[F.col("doc").getField(key).alias(f"node_{name}") for name, key in pairs if name in FREE_TEXT],
     )
-    node = {n: Node(F.col(f"node_{n}"), F.col(f"kind_{n}"), F.col(f"text_{n}")) for n, _ in pairs}
-    given = {n: F.coalesce(node[n].kind != "VOID", F.lit(False)) for n, _ in pairs}
+    node = {
+        name: Node(F.col(f"text_{name}"), F.col(f"node_{name}") if name in FREE_TEXT else _parsed_again(key))
+        for name, key in pairs
+    }
+    given = {
+        n: node[n].value.isNotNull() & ~F.is_variant_null(node[n].value) if n in FREE_TEXT else node[n].text.isNotNull()
+        for n, _ in pairs
+    }
     # A JSON null is an error for an id or a time; only a missing key gets the default.
-    asked = {n: (node[n].kind.isNotNull() if n in DEFAULTED else given[n]) for n in given}
+    asked = {
+        n: F.when(given[n], True).otherwise(
+            F.coalesce(F.array_contains(F.json_object_keys("value"), key), F.lit(False))
+        )
+        if n in DEFAULTED
+        else given[n]
+        for n, key in pairs
+    }
     typed = described.select(
         "value",
         "processed_at",
