@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.frames import incidents, plan_of, vendors
 from tidewarden import JobConfig, schemas
-from tidewarden.functions.session import path_exists
+from tidewarden.functions.session import fresh_dir, path_exists, shared_root
 from tidewarden.operators import classify, incremental, quality
 from tidewarden.plans.scheduled import RunPaths, read_run_log, run_scheduled
 from tidewarden.sources import tables
@@ -115,6 +115,22 @@ def test_a_failed_check_stops_the_run(spark, tmp_path):
     assert not path_exists(spark, paths.mart("regulatory_report"))
 
 
+def test_shared_folder_is_the_one_the_session_names(spark, tmp_path):
+    class Named:
+        """A session whose cluster names a folder."""
+
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return {"spark.checkpoint.dir": f"{tmp_path}/"}.get(name, default)
+
+        sparkContext = spark.sparkContext
+
+    assert shared_root(Named) == str(tmp_path)
+    assert fresh_dir(Named, "x").startswith(f"{tmp_path}/x-")
+    assert fresh_dir(spark, "x") != fresh_dir(spark, "x")
+
+
 def test_settings_from_the_environment():
     config = JobConfig.from_env({"KAFKA_TOPIC_MAJOR": "m", "KAFKA_BROKER": "b:1", "TRIGGER_SECONDS": "3"})
     assert config.source_topics == "incidents.critical,m,incidents.minor"

@@ -39,6 +39,21 @@ def test_both_ways_give_the_same_rows(spark):
     assert counted(large) == want
 
 
+def test_shuffled_join_without_automatic_broadcast(spark):
+    f, d = facts(spark), dimension(spark)
+    want = counted(f.join(d, f["k"] == d["name"], "left").select("n", "k", "id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        large = lookup.left_lookup(f.repartition(4, "n"), d, "k", "name", limit=0)
+        assert "SortMergeJoin" in plan_of(large)
+        assert counted(large) == want
+        # Rows with a hot key or none do not follow their key into the shuffled join.
+        spread = large.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in spread) < 3000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_hot_name_with_several_rows_fans_out(spark):
     f = spark.range(100).select(F.lit("twins").alias("k"), "id").withColumnRenamed("id", "n")
     got = lookup.left_lookup(f, dimension(spark), "k", "name", limit=0)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewarden import schemas
 from tidewarden.config import Thresholds
+from tidewarden.functions import jsontext, keys
 from tidewarden.functions.plan import computed_once
 from tidewarden.operators import classify as rules
 from tidewarden.sources import events as event_json
@@ -163,14 +164,15 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             "institution_id": F.when(e % 79 == 0, F.lit(None)).otherwise(F.col("institution_id")),
         }
     )
-    text = event_json.jsontext.object_text(event_json.keys.event_members())
+    sent = rows.select("event_id", jsontext.object_text(keys.event_members()).alias("text"))
+    text = F.col("text")
     value = (
         F.when(e % 97 == 0, F.left(text, F.length(text) - 1))
         .when(e % 83 == 0, F.regexp_replace(text, '("clients_affected_pct": )([0-9.]+)', '$1"$2"'))
         .when(e % 73 == 0, F.regexp_replace(text, '("financial_impact_eur": )[0-9.]+', "$1NaN"))
         .otherwise(text)
     )
-    return rows.select(value.alias("value"))
+    return sent.select(value.alias("value"))
 
 
 def copied_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,6 @@ SHORT_ESCAPES = (
 )
 # Printable ASCII without the quote and the backslash needs no escape at all.
 PLAIN_TEXT = r"^[ !#-\[\]-~]*$"
-NEEDS_UNICODE_ESCAPE = r"[^ -~]"
 
 
 def _short_escaped(text: Column) -> Column:
@@ -45,12 +44,7 @@ def _unicode_escaped(text: Column) -> Column:
 
 def quoted(text: Column) -> Column:
     """A string as a JSON string."""
-    short = _short_escaped(text)
-    body = (
-        F.when(text.rlike(PLAIN_TEXT), text)
-        .when(short.rlike(NEEDS_UNICODE_ESCAPE), _unicode_escaped(short))
-        .otherwise(short)
-    )
+    body = F.when(text.rlike(PLAIN_TEXT), text).otherwise(_unicode_escaped(_short_escaped(text)))
     return F.concat(F.lit('"'), body, F.lit('"'))
 
 
