@@ -75,9 +75,13 @@ def left_lookup(
     # Rows with no key left to look up match nothing. They are spread by input task instead of meeting
     # in one task: at most what one input task holds goes the same way.
     spread = F.when(cold_key.isNull(), row_spread()).otherwise(F.lit(0).cast("bigint"))
-    second = first.withColumns({"cold_key": cold_key, "spread": spread}).join(
-        packed.withColumn("dim_spread", F.lit(0).cast("bigint")),
-        (F.col("cold_key") == F.col("dim_key")) & (F.col("spread") == F.col("dim_spread")),
+    # The pair is one key: of two conditions Spark would fold the constant one out of the shuffle.
+    second = first.withColumn("pair", F.struct(cold_key.alias("key"), spread.alias("lane"))).join(
+        packed.select(
+            F.struct(F.col("dim_key").alias("key"), F.lit(0).cast("bigint").alias("lane")).alias("dim_pair"),
+            "dim_row",
+        ),
+        F.col("pair") == F.col("dim_pair"),
         "left",
     )
     found = F.coalesce(F.col("hot_row"), F.col("dim_row"))
