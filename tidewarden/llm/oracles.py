@@ -37,4 +37,23 @@ SELECT t.doc_id, t.size, t.source_size, t.target, coalesce(k.taken, 0) AS taken
 FROM timed t LEFT JOIN taken k USING (doc_id)
 """
 
-SQL = {"op9_mixing": OP9}
+OP8 = """
+WITH rows AS (SELECT *, row_number() OVER () AS rid FROM documents),
+split AS (SELECT rid, doc_id, source, md5(text) AS words, generate_subscripts(string_split(text, chr(10)), 1) AS place,
+                 unnest(string_split(text, chr(10))) AS line FROM rows WHERE text IS NOT NULL),
+trimmed AS (SELECT *, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS bare FROM split),
+spread AS (
+  SELECT bare, min(doc_id) AS first FROM trimmed WHERE bare <> '' GROUP BY bare
+  HAVING count(DISTINCT coalesce(source, chr(0))) >= 10 AND count(DISTINCT words) >= 10),
+marked AS (
+  SELECT t.rid, t.place, t.line, s.bare IS NOT NULL AND t.doc_id <> s.first AS gone
+  FROM trimmed t LEFT JOIN spread s ON t.bare = s.bare),
+joined AS (
+  SELECT rid, bool_or(gone) AS changed, coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '') AS text
+  FROM marked GROUP BY rid)
+SELECT r.doc_id, CASE WHEN j.changed THEN j.text ELSE r.text END AS text, r.lang, r.source,
+       CASE WHEN j.changed THEN length(j.text) ELSE r.n_chars END AS n_chars
+FROM rows r LEFT JOIN joined j USING (rid)
+"""
+
+SQL = {"op8_line_dedup": OP8, "op9_mixing": OP9}
