@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewarden.llm.langid import identify
+from tidewarden.llm.likelihood import likelihood
 from tidewarden.llm.linespread import without_spread_lines
 from tidewarden.llm.mixing import mixture
 
@@ -12,6 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return likelihood(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_spread_lines(table(spark, sf_dir, "documents"))
 
@@ -20,7 +26,13 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op3_likelihood": op3_likelihood,
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
+    "op10_language": op10_language,
 }
