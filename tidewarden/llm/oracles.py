@@ -37,6 +37,19 @@ SELECT t.doc_id, t.size, t.source_size, t.target, coalesce(k.taken, 0) AS taken
 FROM timed t LEFT JOIN taken k USING (doc_id)
 """
 
+OP1 = """
+WITH ints AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+  FROM ints q JOIN ints c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scored)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 OP8 = """
 WITH rows AS (SELECT *, row_number() OVER () AS rid FROM documents),
 split AS (SELECT rid, doc_id, source, md5(text) AS words, generate_subscripts(string_split(text, chr(10)), 1) AS place,
@@ -56,4 +69,4 @@ SELECT r.doc_id, CASE WHEN j.changed THEN j.text ELSE r.text END AS text, r.lang
 FROM rows r LEFT JOIN joined j USING (rid)
 """
 
-SQL = {"op8_line_dedup": OP8, "op9_mixing": OP9}
+SQL = {"op1_topk": OP1, "op8_line_dedup": OP8, "op9_mixing": OP9}

@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewarden.llm.langid import identify
 from tidewarden.llm.likelihood import likelihood
 from tidewarden.llm.linespread import without_spread_lines
 from tidewarden.llm.mixing import mixture
+from tidewarden.llm.topk import top_k
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return likelihood(table(spark, sf_dir, "documents"))
 
@@ -31,6 +37,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_topk": op1_topk,
     "op3_likelihood": op3_likelihood,
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
