@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewarden.llm.jaccard import near_duplicates
 from tidewarden.llm.langid import identify
 from tidewarden.llm.likelihood import likelihood
 from tidewarden.llm.linespread import without_spread_lines
@@ -24,6 +25,10 @@ def op3_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return likelihood(table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_spread_lines(table(spark, sf_dir, "documents"))
 
@@ -39,6 +44,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_topk": op1_topk,
     "op3_likelihood": op3_likelihood,
+    "op5_jaccard": op5_jaccard,
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
     "op10_language": op10_language,

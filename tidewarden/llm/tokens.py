@@ -120,11 +120,11 @@ def shingles(hashes: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndar
     padded = np.concatenate([hashes, np.zeros(size, dtype=np.uint64)])
     short = np.repeat((counts < size) * counts, n)
     made = np.zeros(len(first), dtype=np.uint64)
-    factor = STEP
+    factor = int(STEP)
     for k in range(size):
         value = padded[first + k]
         if short.any():
             value = np.where((short > 0) & (k >= short), np.uint64(0), value)
-        made += value * factor
-        factor = factor * STEP | np.uint64(1)
+        made += value * np.uint64(factor)
+        factor = (factor * int(STEP) | 1) % (1 << 64)
     return mixed(made), out_bounds
