@@ -11,6 +11,7 @@ from tidewarden.llm.likelihood import likelihood
 from tidewarden.llm.linespread import without_spread_lines
 from tidewarden.llm.mixing import mixture
 from tidewarden.llm.topk import top_k
+from tidewarden.llm.toxicity import toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +26,10 @@ def op3_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return likelihood(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_topk": op1_topk,
     "op3_likelihood": op3_likelihood,
+    "op4_toxicity": op4_toxicity,
     "op5_jaccard": op5_jaccard,
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
