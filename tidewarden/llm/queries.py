@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewarden.llm.decontaminate import contamination
 from tidewarden.llm.jaccard import near_duplicates
 from tidewarden.llm.langid import identify
 from tidewarden.llm.likelihood import likelihood
@@ -34,6 +35,10 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_spread_lines(table(spark, sf_dir, "documents"))
 
@@ -51,6 +56,7 @@ QUERIES = {
     "op3_likelihood": op3_likelihood,
     "op4_toxicity": op4_toxicity,
     "op5_jaccard": op5_jaccard,
+    "op6_decontamination": op6_decontamination,
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
     "op10_language": op10_language,
