@@ -165,8 +165,15 @@ def likelihood(
 
     shape = "word binary, uses long, known long, base double, model double, lattice double"
     words = stored(counts.select("word", "c", "uses").mapInArrow(scored, shape), "lm-scores")
-    head = words.orderBy(F.col("uses").desc(), "word").limit(head_words).select("word", "known", "base", "model", "lattice")
-    top = head.collect()
+    # The least frequency class, in steps of a few percent, above which at most `head_words` words lie.
+    grade = F.floor(F.log2(F.col("uses")) * 16).cast("int")
+    room, cut = head_words, 1 << 30
+    for row in sorted(words.groupBy(grade.alias("grade")).count().collect(), key=lambda r: -r.grade):
+        room -= row["count"]
+        if room < 0:
+            break
+        cut = row.grade
+    top = words.filter(grade >= cut).select("word", "known", "base", "model", "lattice").collect()
     values = np.array([[r.known, r.base, r.model, r.lattice] for r in top]).reshape(-1, 4)
     sent = docs.sparkSession.sparkContext.broadcast(({bytes(r.word): i for i, r in enumerate(top)}, values))
     del top

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewarden.llm.decontaminate import contamination
+from tidewarden.llm.htmlblocks import main_text
 from tidewarden.llm.jaccard import near_duplicates
 from tidewarden.llm.langid import identify
 from tidewarden.llm.likelihood import likelihood
@@ -39,6 +40,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_spread_lines(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_jaccard": op5_jaccard,
     "op6_decontamination": op6_decontamination,
+    "op7_html": op7_html,
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
     "op10_language": op10_language,
