@@ -211,7 +211,7 @@ def _varied(found: list[Block], labels: np.ndarray, rng: np.random.Generator) ->
         pages += frame(True)
     pages += main[cut:]
     for _ in range(int(rng.integers(0, 4))):
-        pages += frame(bool(rng.random() < 0.3))
+        pages += frame(not nameless and bool(rng.random() < 0.3))
     if rng.random() < 0.5:
         pages += others[len(others) // 2 :]
     return [b for b, _ in pages], np.array([x for _, x in pages])
