@@ -12,6 +12,7 @@ from tidewarden.llm.langid import identify
 from tidewarden.llm.likelihood import likelihood
 from tidewarden.llm.linespread import without_spread_lines
 from tidewarden.llm.mixing import mixture
+from tidewarden.llm.pii import personal_data
 from tidewarden.llm.topk import top_k
 from tidewarden.llm.toxicity import toxicity
 
@@ -24,6 +25,10 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op3_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return likelihood(table(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_topk": op1_topk,
+    "op2_pii": op2_pii,
     "op3_likelihood": op3_likelihood,
     "op4_toxicity": op4_toxicity,
     "op5_jaccard": op5_jaccard,
