@@ -1,0 +1,174 @@
+"""The similarity join against all pairs, and line dedup against a plain count."""
+
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tests.llm import frames
+from tidewarden.llm.jaccard import components, least_equal, near_duplicates, one_of_each, possible
+from tidewarden.llm.linespread import without_spread_lines
+from tidewarden.llm.tokens import words
+
+
+def shingles(text, size=5):
+    w = "".join(c if c.isalnum() else " " for c in (text or "").lower()).split()
+    return tuple(w), {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)} if w else set()
+
+
+def brute(rows, threshold=0.8):
+    """(id, text) -> (class_id, text_id, n_links, n_copies) from all pairs of different texts."""
+    groups = defaultdict(list)
+    for i, text in rows:
+        w, _ = shingles(text)
+        groups[w or ("#", i)].append(i)
+    sets = {w: shingles(" ".join(map(str, w)))[1] if w[0] != "#" else set() for w in groups}
+    keys = list(groups)
+    root = {w: w for w in keys}
+
+    def find(w):
+        while root[w] != w:
+            w = root[w]
+        return w
+
+    links = Counter()
+    for x, a in enumerate(keys):
+        for b in keys[x + 1 :]:
+            common = len(sets[a] & sets[b])
+            if common and common >= threshold * len(sets[a] | sets[b]):
+                links[a] += 1
+                links[b] += 1
+                root[find(a)] = find(b)
+    least = {}
+    for w, ids in groups.items():
+        least[find(w)] = min(least.get(find(w), 1 << 60), min(ids))
+    return {i: (least[find(w)], min(ids), links[w], len(ids)) for w, ids in groups.items() for i in ids}
+
+
+def changed(rng, text, share):
+    return " ".join(rng.choice(frames.WORDS) if rng.random() < share else w for w in text.split())
+
+
+def corpus(seed=3):
+    """Groups of near copies at all similarities, a large one, exact copies, short texts."""
+    rng = random.Random(seed)
+    texts = [frames.sentence(rng, 60) for _ in range(30)]
+    for share in (0.005, 0.01, 0.02, 0.04, 0.1):
+        for _ in range(10):
+            base = frames.sentence(rng, rng.randrange(20, 200))
+            texts += [base] + [changed(rng, base, share) for _ in range(3)]
+    base = frames.sentence(rng, 80)
+    texts += [changed(rng, base, 0.02) for _ in range(300)]
+    texts += [texts[0].upper()] * 40 + [texts[1] + "!"] * 3 + ["bark", "Bark.", "ban bark", "", " . "]
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def test_join_equals_all_pairs(spark):
+    rows = corpus()
+    got = near_duplicates(frames.documents(spark, [(i, t, "en", "a") for i, t in rows]), block_rows=(32, 64))
+    want = brute(rows)
+    assert {r.doc_id: (r.class_id, r.text_id, r.n_links, r.n_copies) for r in got.collect()} == want
+    assert max(v[2] for v in want.values()) > 50
+
+
+def test_blocks_by_words_give_the_same(spark):
+    docs = frames.documents(spark, [(i, t, "en", "a") for i, t in corpus(5)])
+    one, other = near_duplicates(docs), near_duplicates(docs, block_words=2000)
+    assert frames.rows_of(one) == frames.rows_of(other)
+
+
+def test_one_of_each_class_stays(spark):
+    rows = corpus(7)
+    docs = frames.documents(spark, [(i, t, "en", "a") for i, t in rows] + [(10_000, "ban bark", "en", "b")] * 2)
+    kept = [r.doc_id for r in one_of_each(docs).collect()]
+    want = brute(rows)
+    assert sorted(kept) == sorted(i for i in want if want[i][0] == i)
+
+
+def test_kept_columns(spark):
+    docs = frames.clashing(frames.documents(spark, [(1, "a b c d e f", "en", "x"), (2, "a b c d e f", "en", "y")]))
+    out = one_of_each(docs)
+    assert out.columns == docs.columns and [r.doc_id for r in out.collect()] == [1]
+
+
+def test_pruning_keeps_pairs_at_the_threshold():
+    steps = [25, 50, 75, 100, 125, 150]
+    least = least_equal(0.8, 1e-6, steps)
+    rng = np.random.Generator(np.random.PCG64(2))
+    equal = np.cumsum(rng.random((20_000, 150)) < 0.8, axis=1)
+    assert all((equal[:, n - 1] >= m).all() for n, m in zip(steps, least, strict=True))
+    # Pairs of half the similarity are gone well before the end.
+    other = np.cumsum(rng.random((20_000, 150)) < 0.4, axis=1)
+    assert (other[:, 99] >= least[3]).mean() < 0.01
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 100)] + [(5000, 4000), (4000, 4500), (7, 7)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long"), "test").collect()}
+    assert {got[i] for i in range(201)} == {0}
+    assert {got[1000 + i] for i in range(100)} == {1000}
+    assert got[5000] == got[4500] == 4000
+
+
+def test_filter_of_possible_rows_loses_none(spark):
+    rows = spark.range(10_000).selectExpr("xxhash64(id) as key", "id")
+    wanted = rows.filter("id % 50 = 0").select("key")
+    left = possible(rows, wanted, "key")
+    assert left.join(wanted, "key").count() == 200 and left.count() < 2000
+
+
+@pytest.mark.parametrize("texts", [["Ab c", None, "", "x1-y2", "É é", "漢字 a"], [""], []])
+def test_words_equal_a_plain_split(texts):
+    hashes, bounds, starts, ends, data = words(pa.array(texts, pa.string()))
+    got = [[bytes(data[starts[k] : ends[k]]).decode() for k in range(bounds[i], bounds[i + 1])] for i in range(len(texts))]
+    assert got == ["".join(c if c.isalnum() else " " for c in (t or "").lower()).split() for t in texts]
+    flat = [w for ws in got for w in ws]
+    assert len(set(zip(flat, hashes.tolist()))) == len(set(flat)) == len(set(hashes.tolist()))
+
+
+def plain_lines(rows, sites, keep_first=True):
+    """Texts without lines on `sites` sites and in as many texts; the least id that has a line keeps it."""
+    where, texts, first = defaultdict(set), defaultdict(set), {}
+    for i, text, _, source in rows:
+        for line in (text or "").split("\n"):
+            bare = line.strip(" \t\r\x0b\x0c")
+            if bare:
+                where[bare].add(source)
+                texts[bare].add(text)
+                first[bare] = min(first.get(bare, 1 << 60), i)
+    gone = {b for b in where if len(where[b]) >= sites and len(texts[b]) >= sites}
+    drop = lambda i, b: b in gone and not (keep_first and first[b] == i)
+    return {
+        i: None if t is None else "\n".join(x for x in t.split("\n") if not drop(i, x.strip(" \t\r\x0b\x0c"))) for i, t, *_ in rows
+    }
+
+
+def page_rows(seed=1, n=400):
+    rng = random.Random(seed)
+    common = [f"  common line {k} \r" for k in range(30)]
+    rows = []
+    for i in range(n):
+        lines = [frames.sentence(rng, 6) for _ in range(3)] + [rng.choice(common) for _ in range(rng.randrange(4))] + ["", "  "]
+        lines += ["everywhere"] if i % 3 else []
+        rng.shuffle(lines)
+        rows.append((i, "\n".join(lines), "en", None if i % 41 == 0 else f"site{rng.randrange(rng.randrange(1, 30))}"))
+    # A page copied as a whole to many sites is one text.
+    rows += [(n + k, "first of the copy\nsecond of the copy", "en", f"site{k}") for k in range(25)]
+    return [*rows, (n + 50, None, None, None), (n + 51, "", "en", "a"), (n + 52, "everywhere", "en", "a")]
+
+
+@pytest.mark.parametrize("keep_first", [True, False])
+@pytest.mark.parametrize("sites", [3, 10, 14])
+def test_lines_equal_a_plain_count(spark, sites, keep_first):
+    rows = page_rows()
+    out = without_spread_lines(frames.documents(spark, rows), sites=sites, keep_first=keep_first).collect()
+    assert {r.doc_id: r.text for r in out} == plain_lines(rows, sites, keep_first)
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in out)
+
+
+def test_lines_without_python(spark):
+    plan = without_spread_lines(frames.documents(spark, page_rows(n=20)))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Nested" not in plan

@@ -248,8 +248,8 @@ def _bucket(text: str, cache: dict[str, int], buckets: int) -> int:
             value = (value ^ byte) * 1099511628211 % (1 << 64)
         if len(cache) > 200_000:
             cache.clear()
-        found = cache[text] = (value >> 20) % buckets
-    return found
+        found = cache[text] = value >> 20
+    return found % buckets
 
 
 _CACHE: dict[str, int] = {}

@@ -217,7 +217,10 @@ def fit(found: DataFrame, sample_docs: int = 4000, most_rows: int = 20_000, prec
     labels = {r.label: r["count"] for r in sample.filter(~held).groupBy("label").count().collect()}
     if len(labels) < 2:
         return Chooser(None)
-    learner = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=rounds, maxDepth=3, maxBins=32, seed=7)
+    # No leaf for a handful of rows: a rare format follows the formats most like it.
+    learner = GBTClassifier(
+        featuresCol="vector", labelCol="label", maxIter=rounds, maxDepth=3, maxBins=32, minInstancesPerNode=20, seed=7
+    )
     chooser = Chooser(learner.fit(_described(sample.filter(~held)).select("label", "vector")))
     judged = chooser.probabilities(sample.filter(held)).groupBy("kind").agg(
         *[F.count_if(F.col("p") >= c).alias(f"n{i}") for i, c in enumerate(CUTS)],

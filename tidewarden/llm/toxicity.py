@@ -74,7 +74,7 @@ class Network:
         tops, wheres = [], []
         owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
         for span, kernel, offset in zip(self.shape.spans, self.kernels, self.offsets, strict=True):
-            top = np.zeros((len(bounds) - 1, self.shape.filters), dtype=np.float32)
+            top = np.zeros((len(bounds) - 1, self.shape.filters), dtype=vectors.dtype)
             where = np.full(top.shape, -1, dtype=np.int64)
             if len(place):
                 value = (vectors @ kernel[0])[place]
