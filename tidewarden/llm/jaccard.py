@@ -127,28 +127,65 @@ def least_equal(threshold: float, tolerance: float, steps: list[int]) -> list[in
     return out
 
 
-def components(edges: DataFrame, purpose: str, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, purpose: str, most_rounds: int = 40) -> DataFrame:
     """(node, root) for each node of the undirected (a, b), root being the least node it hangs together with.
 
-    Every round a node takes the least label among its neighbours and itself, then the label of its label, which
-    halves distances. A node of very many edges is no group: minima are combined before the shuffle.
+    Every node hooks onto its least smaller neighbour, chains of hooks are followed to their ends by doubling, and the
+    edges are carried over to these ends; edges within one tree fall away, so each round has fewer. A node of very
+    many edges is no group: minima are combined before the shuffle.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = stored(both.distinct(), purpose)
-    labels = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("root")).withColumnRenamed("a", "node"), purpose)
+    turned = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
+    left = stored(turned.distinct(), purpose)
+    nodes = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
+    labels = stored(nodes.withColumn("root", F.col("node")), purpose)
     for _ in range(most_rounds):
-        told = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("root").alias("seen"))
-        nearer = labels.join(told.withColumnRenamed("a", "node"), "node", "left").select(
-            "node", "root", F.least("root", "seen").alias("near")
-        )
-        jump = labels.select(F.col("node").alias("near"), F.col("root").alias("far"))
-        moved = nearer.join(jump, "near", "left").select("node", F.least("near", "far").alias("new"), "root")
-        moved = stored(moved, purpose)
-        changed = moved.filter("new <> root").limit(1).count()
-        labels = moved.select("node", F.col("new").alias("root"))
-        if not changed:
+        if left.isEmpty():
             return labels
-    raise RuntimeError(f"labels still change after {most_rounds} rounds")
+        trees = _followed(stored(left.groupBy("a").agg(F.min("b").alias("b")), purpose), purpose)
+        ends = trees.select(F.col("a").alias("from"), F.col("b").alias("end"))
+        labels = labels.join(ends, F.col("root") == F.col("from"), "left")
+        labels = stored(labels.select("node", F.coalesce("end", "root").alias("root")), purpose)
+        moved = left.join(ends, F.col("a") == F.col("from")).select(F.col("end").alias("a"), "b")
+        moved = moved.join(ends, F.col("b") == F.col("from"), "left").select("a", F.coalesce("end", "b").alias("b"))
+        turned = moved.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        left = stored(turned.distinct(), purpose)
+    raise RuntimeError(f"edges are left after {most_rounds} rounds")
+
+
+def _followed(hooks: DataFrame, purpose: str, most_rounds: int = 64) -> DataFrame:
+    """(a, b) with every chain of hooks followed to its end; a hook's b is always smaller than its a."""
+    for _ in range(most_rounds):
+        ahead = hooks.select(F.col("a").alias("b"), F.col("b").alias("next"))
+        longer = stored(hooks.join(ahead, "b", "left").select("a", F.coalesce("next", "b").alias("b"), F.col("next").isNotNull().alias("moved")), purpose)
+        hooks = longer.select("a", "b")
+        if longer.filter("moved").isEmpty():
+            return hooks
+    raise RuntimeError(f"chains are longer than 2 ** {most_rounds}")
+
+
+def possible(rows: DataFrame, wanted: DataFrame, key: str, most_bits: int = 1 << 28) -> DataFrame:
+    """The rows whose `key` may be among the keys of `wanted`, which are distinct: none is lost, some others stay.
+
+    The filter is a bitmap of 16 bits a wanted key, `most_bits` (32 MB) at most; past that more rows stay.
+    """
+    bits = 1 << 15
+    while bits < min(most_bits, 16 * wanted.count()):
+        bits *= 2
+    place = F.pmod(F.col(key), F.lit(bits)) + 1
+    parts = wanted.select(place.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("part"))
+    bitmap = np.zeros(bits // 8, dtype=np.uint8)
+    for part in parts.agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("set")).collect():
+        low = (part.part - 1) << 12
+        bitmap[low : low + (1 << 12)] = np.frombuffer(part.set, dtype=np.uint8)
+    sent = rows.sparkSession.sparkContext.broadcast(bitmap)
+    column = rows.columns.index(key)
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(column).to_numpy() & (bits - 1)
+            yield batch.filter(pa.array((sent.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+
+    return rows.mapInArrow(passed, rows.schema)
 
 
 class Unit:
@@ -313,7 +350,9 @@ def classes(
     chosen = stored(chosen, "jaccard-chosen")
     # Small pools share a cell, so that a group of rows is worth a call.
     cells = max(1, chosen.count() // block_rows[0])
-    read = keyed.select("row_a", "row_b", "text").join(chosen, ["row_a", "row_b"]).dropDuplicates(["row_a", "row_b"])
+    # Most texts have no candidate: they are left out before the join.
+    read = possible(keyed.select("row_a", "row_b", "text"), chosen, "row_a")
+    read = read.join(chosen, ["row_a", "row_b"]).dropDuplicates(["row_a", "row_b"])
     read = read.select(
         "node", "pool", "n_blocks", "block", "text",
         F.when(F.col("n_blocks") > 1, F.col("pool")).otherwise(F.pmod(F.xxhash64("pool"), F.lit(cells))).alias("cell"),
