@@ -3,13 +3,13 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from tests.frames import incidents, plan_of, vendors
+from tests.frames import BASE, incidents, plan_of, vendors
 from tidewarden.functions.numbers import mean_2dp, percent_2dp
 from tidewarden.operators import charts, classify, marts, staging
 from tidewarden.operators.deadlines import derive
 
 UTC = timezone.utc
-DETECTED = datetime(2026, 6, 1, 10, 0, tzinfo=UTC)
+DETECTED = BASE["detection_timestamp"]
 CRITICAL = {"clients_affected_pct": 30.0}
 MAJOR = {"financial_impact_eur": 200_000.0}
 
@@ -31,7 +31,7 @@ CASES = [
     (CRITICAL, timedelta(hours=4, seconds=36), (False, True, 0.01)),
     (CRITICAL, timedelta(hours=5, minutes=30), (False, True, 1.5)),
     (CRITICAL, timedelta(seconds=-90), (True, False, None)),
-    (CRITICAL, None, (False, True, 1.0)),
+    (CRITICAL, None, (False, True, 1.75)),
     (MAJOR, timedelta(hours=72), (True, False, None)),
     (MAJOR, timedelta(hours=72, seconds=18), (False, True, 0.01)),
     (MAJOR, None, (False, False, None)),
@@ -51,12 +51,12 @@ def test_deadlines(spark):
         assert r["reporting_period"] == "2026-06"
     assert rows["00000000-0000-4000-8000-000000000004"]["containment_hours"] == -0.03
     assert rows["00000000-0000-4000-8000-000000000009"]["deadline_timestamp"] is None
-    assert rows["00000000-0000-4000-8000-000000000006"]["deadline_timestamp"] == datetime(2026, 6, 4, 10)
+    assert rows["00000000-0000-4000-8000-000000000006"]["deadline_timestamp"] == datetime(2026, 6, 4, 9, 15)
 
 
 def test_open_incident_at_its_deadline_is_not_breached(spark):
-    assert derived(spark, [CRITICAL], "2026-06-01 14:00:00").first()["sla_breached"] is False
-    late = derived(spark, [CRITICAL], "2026-06-01 14:00:01").first()
+    assert derived(spark, [CRITICAL], "2026-06-01 13:15:00").first()["sla_breached"] is False
+    late = derived(spark, [CRITICAL], "2026-06-01 13:15:01").first()
     assert (late["sla_breached"], late["hours_overdue"]) == (True, 0.0)
 
 
@@ -111,7 +111,7 @@ def test_report_counts(spark):
         {"institution_id": "B", "incident_ts": datetime(2026, 7, 1, tzinfo=UTC)},
     ]
     rows = {r["institution_id"]: r for r in marts.regulatory_report(derived(spark, changes)).collect()}
-    one, two = rows["DE-BANK-001"], rows["B"]
+    one, two = rows["NL-INS-417"], rows["B"]
     assert (one["incident_count_total"], one["incident_count_critical"], one["incident_count_major"]) == (3, 1, 1)
     assert (one["incident_count_minor"], one["incidents_reported"]) == (1, 2)
     # 1.00 and 2.01 hours: the mean 1.505 is rounded up.

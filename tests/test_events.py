@@ -20,14 +20,14 @@ def stamp():
 STAMP_VALUE = datetime(2026, 7, 1)
 GOOD = {
     "incident_id": "0a1b2c3d-0000-4000-8000-00000000000f",
-    "timestamp": "2026-06-01T10:00:00+00:00",
-    "institution_id": "DE-BANK-001",
-    "institution_type": "bank",
+    "timestamp": "2026-03-17T22:41:05+00:00",
+    "institution_id": "PT-PAY-88",
+    "institution_type": "payment_provider",
     "incident_type": "system_outage",
     "affected_systems": ["core-banking", "cards"],
     "clients_affected_pct": 12.5,
     "financial_impact_eur": 1000,
-    "detection_timestamp": "2026-06-01T09:00:00.123456+00:00",
+    "detection_timestamp": "2026-03-17T20:05:30.123456+00:00",
     "containment_timestamp": None,
     "ict_third_party_provider": None,
     "is_cross_border": True,
@@ -47,8 +47,8 @@ def test_round_trip(spark):
     row = parse(spark, GOOD)[0]
     assert row["error_reason"] is None
     assert row["incident_id"] == GOOD["incident_id"]
-    assert row["incident_ts"] == datetime(2026, 6, 1, 10)
-    assert row["detection_timestamp"] == datetime(2026, 6, 1, 9, 0, 0, 123456)
+    assert row["incident_ts"] == datetime(2026, 3, 17, 22, 41, 5)
+    assert row["detection_timestamp"] == datetime(2026, 3, 17, 20, 5, 30, 123456)
     assert row["affected_systems"] == ["core-banking", "cards"]
     assert (row["clients_affected_pct"], row["financial_impact_eur"]) == (12.5, 1000.0)
     assert row["is_cross_border"] is True and row["severity"] is None
@@ -190,7 +190,7 @@ def test_encode_and_hash_match_plain_json(spark):
     ]
     encoded = ev.encode(df, names).collect()
     assert [r["value"] for r in encoded] == [json.dumps(r) for r in rows]
-    assert [r["key"] for r in encoded] == ["DE-BANK-001"] * 2
+    assert [r["key"] for r in encoded] == ["NL-INS-417"] * 2
     hashes = [r["record_hash"] for r in audit.with_hash(df, names).collect()]
     assert hashes == [hashlib.sha256(json.dumps(r, sort_keys=True).encode()).hexdigest() for r in rows]
 
@@ -207,13 +207,13 @@ def test_renamed_keys_are_read(spark):
     message = {("when" if k == "timestamp" else "tier" if k == "severity" else k): v for k, v in GOOD.items()}
     raw = spark.createDataFrame([(json.dumps(message | {"tier": "minor"}),)], "value string")
     row = ev.parse(raw, stamp(), names).first()
-    assert (row["error_reason"], row["severity"], row["incident_ts"]) == (None, "minor", datetime(2026, 6, 1, 10))
+    assert (row["error_reason"], row["severity"], row["incident_ts"]) == (None, "minor", datetime(2026, 3, 17, 22, 41, 5))
 
 
 def test_routing(spark):
     df = incidents(spark, *[{"severity": t} for t in (*TIERS, None)])
     rows = ev.route(df, {t: f"in.{t}" for t in TIERS}).collect()
-    assert [r["topic"] for r in rows] == ["in.critical", "in.major", "in.minor", None]
+    assert [r["topic"] for r in rows] == ["in.critical", "in.major", "in.minor", "incidents.untiered"]
 
 
 def test_surrogate_key(spark):

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from tests.frames import incidents, plan_of, vendors
 from tidewarden import JobConfig, schemas
-from tidewarden.functions.session import fresh_dir, path_exists, shared_root
+from tidewarden.functions.session import fresh_dir, path_exists, scratch_dir, shared_root
 from tidewarden.operators import classify, incremental, quality
-from tidewarden.plans.scheduled import RunPaths, read_run_log, run_scheduled
+from tidewarden.plans.scheduled import RunPaths, now, read_run_log, run_scheduled
 from tidewarden.sources import tables
 
 DAY = datetime(2026, 6, 1, tzinfo=timezone.utc)
@@ -93,7 +93,7 @@ def test_scheduled_run(spark, tmp_path):
     as_of = "2026-06-10 00:00:00"
     first = run_scheduled(spark, source.filter("incident_id <= 'id-1'"), names, paths, as_of, "r1")
     assert (first.loaded_count, first.report.first()["incident_count_total"]) == (2, 2)
-    second = run_scheduled(spark, source, names, paths, as_of, "r2", runtime_seconds=1.5)
+    second = run_scheduled(spark, source, names, paths, as_of, "r2", started=now() - timedelta(hours=1))
     assert (second.loaded_count, second.report.first()["incident_count_total"]) == (2, 4)
     assert second.alerts.first()["compliance_rate_pct"] == 0.0
     assert second.vendor_risk.first()["concentration_risk_tier"] == "HIGH"
@@ -102,8 +102,9 @@ def test_scheduled_run(spark, tmp_path):
     assert spark.table("incidents_derived").count() == 4
     third = run_scheduled(spark, source, names, paths, as_of, "r3")
     assert third.loaded_count == 0
-    log = {r["run_id"]: (r["record_count"], r["loaded_count"], r["runtime_seconds"]) for r in read_run_log(spark, paths).collect()}
-    assert log == {"r1": (2, 2, None), "r2": (4, 2, 1.5), "r3": (4, 0, None)}
+    log = {r["run_id"]: r for r in read_run_log(spark, paths).collect()}
+    assert {k: (r["record_count"], r["loaded_count"]) for k, r in log.items()} == {"r1": (2, 2), "r2": (4, 2), "r3": (4, 0)}
+    assert 0 < log["r1"]["runtime_seconds"] < 600 and 3600 < log["r2"]["runtime_seconds"] < 4200
 
 
 def test_a_failed_check_stops_the_run(spark, tmp_path):
@@ -115,6 +116,32 @@ def test_a_failed_check_stops_the_run(spark, tmp_path):
     assert not path_exists(spark, paths.mart("regulatory_report"))
 
 
+def test_marts_as_tables(spark, tmp_path):
+    paths = RunPaths(str(tmp_path))
+    source = rows(spark, 0, 1, clients_affected_pct=30.0, ict_third_party_provider="AWS")
+    for run in ("r1", "r2"):
+        run_scheduled(spark, source, vendors(spark, ("AWS", "cloud", False, True, 5)), paths, "2026-06-10 00:00:00", run, database="tw_marts")
+    assert {t.name for t in spark.catalog.listTables("tw_marts")} >= {"regulatory_report", "vendor_risk", "breach_register"}
+    assert spark.table("tw_marts.breach_register").count() == 2
+    spark.sql("DROP DATABASE tw_marts CASCADE")
+
+
+def test_late_rows_read_no_later_day(spark, tmp_path):
+    source, target = str(tmp_path / "s"), str(tmp_path / "t")
+    tables.write_rows(rows(spark, 0, 1, 30, 80), source, TABLE, "overwrite")
+    tables.write_rows(rows(spark, 1, 30), target, TABLE, "overwrite")
+    read = [tables.read_rows(spark, p, TABLE) for p in (source, target)]
+    late = incremental.late_rows(*read, day="incident_day")
+    assert ids(late) == [0]
+    filters = [part.split("]")[0] for part in plan_of(late).split("PartitionFilters: [")[1:]]
+    assert any("incident_day" in f for f in filters)
+
+
+def test_scratch_folders_are_marked_for_removal(spark):
+    path = scratch_dir(spark, "mark")
+    assert path_exists(spark, path) and "/mark-" in path
+
+
 def test_shared_folder_is_the_one_the_session_names(spark, tmp_path):
     class Named:
         """A session whose cluster names a folder."""

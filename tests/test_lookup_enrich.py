@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tests.frames import incidents, plan_of, vendors
@@ -91,19 +92,30 @@ def test_semi_lookup(spark):
         assert kept.count() == facts(spark).filter("k in ('hot', 'gone')").count()
 
 
-CSV = """vendor_name,vendor_type,eu_headquartered,critical,score
- AWS ,cloud ,false,TRUE,5
-SAP,saas,true, False ,2
-SAP,erp,True,true,4
+CSV = """score,vendor_name,remark,critical, eu_headquartered,vendor_type
+5,\t AWS ,x,TRUE,false,cloud\t
+2,SAP,,\u00a0False ,true,saas
+4,SAP,y,true,True,erp
 """
+HEADERS = {"designated_critical": "critical", "concentration_risk_score": "score"}
 
 
-def test_vendor_csv(spark, tmp_path):
+def test_vendor_csv_by_name(spark, tmp_path):
     path = tmp_path / "vendors.csv"
     path.write_text(CSV)
-    rows = {r["vendor_name"]: tuple(r)[1:] for r in load_vendors(spark, str(path)).collect()}
+    rows = {r["vendor_name"]: tuple(r)[1:] for r in load_vendors(spark, str(path), HEADERS).collect()}
     assert rows == {"AWS": ("cloud", False, True, 5), "SAP": ("erp", True, True, 4)}
     assert load_vendors(spark, str(tmp_path / "none.csv")).count() == 0
+    with pytest.raises(ValueError, match="designated_critical, concentration_risk_score"):
+        load_vendors(spark, str(path))
+
+
+def test_the_last_vendor_file_counts(spark, tmp_path):
+    head = "vendor_name,vendor_type,eu_headquartered,designated_critical,concentration_risk_score\n"
+    (tmp_path / "a.csv").write_text(head + "".join(f"V{n},old,true,true,1\n" for n in range(500)) + "AWS,old,true,true,1\n")
+    (tmp_path / "b.csv").write_text(head + "AWS,new,true,true,2\n")
+    rows = {r["vendor_name"]: r["vendor_type"] for r in load_vendors(spark, str(tmp_path)).collect()}
+    assert rows["AWS"] == "new" and rows["V7"] == "old"
 
 
 def test_enrichment(spark):

@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.frames import incidents, plan_of, vendors
-from tidewarden.operators import audit, classify, quality
+from tidewarden import schemas
+from tidewarden.operators import audit, classify, deadlines, marts, quality, staging
+from tidewarden.sources import tables
 
 
 def classified(spark, *changes):
@@ -67,7 +69,7 @@ SUITE = {
     "expectation_suite_name": "incidents",
     "expectations": [
         {"expectation_type": "expect_column_to_exist", "kwargs": {"column": "timestamp"}},
-        {"expectation_type": "expect_column_values_to_be_between", "kwargs": {"column": "clients_affected_pct", "min_value": 0, "max_value": 1}},
+        {"expectation_type": "expect_column_values_to_be_between", "kwargs": {"column": "clients_affected_pct", "min_value": 0, "max_value": 3}},
         {
             "expectation_type": "expect_column_values_to_be_in_set",
             "kwargs": {"column": "notify_required", "value_set": [True], "row_condition": 'severity=="critical"'},
@@ -89,6 +91,50 @@ def test_suite_from_json(spark):
     assert quality.load_suite(json.dumps(quality.INCIDENT_SUITE)) == quality.INCIDENT_SUITE
 
 
+def test_conditions_are_renamed_by_whole_names():
+    condition = "detection_timestamp > timestamp and `timestamp` is not null and incident_type <> 'timestamp'"
+    entry = {"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": "timestamp", "row_condition": condition}}
+    check, = quality.load_suite(json.dumps({"expectations": [entry]}))
+    assert check == {
+        "check": "not_null", "column": "incident_ts",
+        "where": "detection_timestamp > incident_ts and incident_ts is not null and incident_type <> 'timestamp'",
+    }
+
+
+@pytest.mark.parametrize("kwargs", [{"mostly": 0.9}, {"strict_min": True}])
+def test_arguments_that_are_not_supported_are_errors(kwargs):
+    entry = {"expectation_type": "expect_column_values_to_be_between", "kwargs": {"column": "severity"} | kwargs}
+    with pytest.raises(ValueError, match=next(iter(kwargs))):
+        quality.load_suite(json.dumps({"expectations": [entry]}))
+
+
+def test_suite_file_and_gate_outcome(spark, tmp_path):
+    (tmp_path / "suite.json").write_text(json.dumps(SUITE, indent=2))
+    rows = classified(spark, {"clients_affected_pct": 30.0}, {}, {})
+    results = quality.run_suite(rows, quality.read_suite(spark, str(tmp_path / "suite.json")))
+    outcome_rows = quality.gate_outcome(results).orderBy("check_id").collect()
+    assert [(r["decision"], r["failed"], r["check"]) for r in outcome_rows] == [("stop", 2, None), ("stop", None, "between"), ("stop", None, "row_count")]
+    with pytest.raises(quality.QualityGateError):
+        quality.gate(results)
+    good = quality.gate_outcome(results.filter("success")).collect()
+    assert [(r["decision"], r["failed"]) for r in good] == [("go", 0)]
+
+
+def test_stored_models_are_read_once_for_their_checks(spark, tmp_path):
+    rows = staging.stage_incidents(classified(spark, {}, {}))
+    names = spark.createDataFrame([("AWS", "cloud", False, True, 5), ("AWS", "cloud", False, True, 5)], schemas.VENDOR)
+    derived = deadlines.derive(rows, staging.stage_vendors(names), F.lit("2026-06-10").cast("timestamp"))
+    now = F.lit("2026-06-10").cast("timestamp")
+    models = {
+        "stg_incidents": rows, "stg_vendors": staging.stage_vendors(names), "derived": derived,
+        "regulatory_report": marts.regulatory_report(derived), "vendor_risk": marts.vendor_risk(derived, now),
+        "breach_register": marts.breach_register(derived),
+    }
+    stored = {k: tables.materialise(v, f"{tmp_path}/{k}") for k, v in models.items()}
+    plan = plan_of(quality.model_tests(stored))
+    assert plan.count("FileScan") <= len(models) + 3
+
+
 def test_assertions_after_a_run(spark):
     rows = classified(spark, {"clients_affected_pct": 30.0}, {"clients_affected_pct": 31.0}, {})
     log = audit.audit(audit.with_hash(rows), F.lit("2026-01-01").cast("timestamp"))

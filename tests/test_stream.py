@@ -1,12 +1,16 @@
 import json
+import time
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
 from tests.frames import incidents, vendors
-from tidewarden import Thresholds
+from tidewarden import JobConfig, Thresholds
 from tidewarden.operators import classify
-from tidewarden.sources import events, external
-from tidewarden.streaming import job
+from tidewarden.sources import events, external, tables
+from tidewarden.streaming import fold, job
+
+DAY = datetime(2026, 6, 1, tzinfo=timezone.utc)
 
 
 def write_messages(path, spark, batches):
@@ -92,6 +96,89 @@ def test_repeated_messages_are_dropped_within_the_time(spark, tmp_path):
     assert job.read_rejected(spark, root).count() == 1
 
 
+def test_amended_events_are_kept(spark, tmp_path):
+    event = {"incident_id": "00000000-0000-4000-8000-000000000001", "clients_affected_pct": 1.0}
+    first, amended = texts(incidents(spark, event)), texts(incidents(spark, event | {"clients_affected_pct": 60.0}))
+    source = write_messages(tmp_path / "in", spark, [first + first, amended + first, amended])
+    root = str(tmp_path / "out")
+    run(source, job.Sinks(root, "q"), tmp_path / "cp", dedup_within="1 hour")
+    stored = [(r["clients_affected_pct"], r["severity"]) for r in job.read_classified(spark, root).collect()]
+    assert sorted(stored) == [(1.0, "minor"), (60.0, "critical")]
+    assert job.read_rejected(spark, root).count() == 0
+    assert "RocksDB" in spark.conf.get(job.STATE_STORE)
+
+
+def files(root, table):
+    return len(list((root / table).rglob("part-*.parquet")))
+
+
+def test_files_do_not_grow_with_tasks(spark, tmp_path):
+    """A stateful batch runs without AQE; it writes as few files as a plain one, and splits a hot day."""
+    hours = [{"incident_id": f"00000000-0000-4000-8000-{n:012d}", "incident_ts": DAY + timedelta(hours=n % 72)} for n in range(300)]
+    lines = texts(incidents(spark, *hours))
+    found = {}
+    for name, options in (("plain", {}), ("dedup", {"dedup_within": "1 hour"})):
+        source = write_messages(tmp_path / name, spark, [lines])
+        root = tmp_path / f"out-{name}"
+        run(source, job.Sinks(str(root), "q", rows_per_file=50), tmp_path / f"cp-{name}", **options)
+        assert job.read_classified(spark, str(root)).count() == 300
+        found[name] = {t: files(root, t) for t in ("incidents_raw", "incidents_classified", "audit_log")}
+    # Three days of a hundred rows, each in two parts; with AQE small parts may be written together.
+    for table in ("incidents_classified", "incidents_raw"):
+        assert 3 <= found["plain"][table] <= found["dedup"][table] <= 6
+    assert found["dedup"]["audit_log"] > 1
+
+
+def test_stop_waits_for_the_batch_in_flight(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for n in range(6):
+        (tmp_path / "in" / f"part-{n}.txt").write_text("\n".join(texts(sample(spark, 10 * n, 10 * n + 10))) + "\n")
+    source = external.text_stream(spark, str(tmp_path / "in"), files_per_batch=1)
+    began = []
+
+    def slow(df, config):
+        began.append(time.monotonic())
+        time.sleep(3)
+        df.write.mode("overwrite").format("noop").save()
+
+    sinks = job.Sinks(str(tmp_path / "out"), "q", config=JobConfig(trigger_seconds=1), publish=slow)
+    query = job.start_stream(source, sinks, str(tmp_path / "cp"))
+    while not began:
+        time.sleep(0.05)
+    asked = time.monotonic()
+    assert job.stop_gracefully(query, wait_seconds=60)
+    assert time.monotonic() - asked < 20 and not query.isActive
+    error = query.exception()
+    assert error is None or "StopRequested" in str(error)
+    done = len(began)
+    time.sleep(2)
+    assert len(began) == done
+    root = sinks.root
+    log = {r["batch_id"]: r["processed"] for r in job.read_batch_log(spark, root).collect()}
+    for read in (job.read_raw, job.read_classified, job.read_audit):
+        assert {r["batch_id"]: r["count"] for r in read(spark, root).groupBy("batch_id").count().collect()} == log
+    assert log == {n: 10 for n in range(done)}
+
+
+def test_folds_can_be_run_again(spark, tmp_path):
+    lines = texts(sample(spark, 0, 30))
+    source = write_messages(tmp_path / "in", spark, [lines[:10], lines[10:20], lines[20:]])
+    root, landed = str(tmp_path / "out"), str(tmp_path / "landed")
+    run(source, job.Sinks(root, "q"), tmp_path / "cp")
+    assert fold.read_folded(spark, landed, "q") is None
+    assert fold.fold_batches(spark, root, landed, "q", 0) == 0
+    # A fold that was cut off before its log entry is not read.
+    tables.write_rows(job.read_classified(spark, root).drop("query_id", "batch_id"), fold._folder(landed, "q", 0, 1), fold.TABLE, "overwrite")
+    assert fold.read_folded(spark, landed, "q").count() == 10
+    for _ in range(2):
+        assert fold.fold_batches(spark, root, landed, "q", 2) == 2
+    want = {r["incident_id"]: r["severity"] for r in job.read_classified(spark, root).collect()}
+    got = fold.read_folded(spark, landed, "q").collect()
+    assert len(got) == 30 and {r["incident_id"]: r["severity"] for r in got} == want
+    assert fold.folds(spark, landed, "q") == [(-1, 0), (0, 2)]
+    assert files(tmp_path / "landed", f"{fold.TABLE}/query_id=q/fold=0-2") <= files(tmp_path / "out", "incidents_classified")
+
+
 def test_publish_receives_the_messages(spark, tmp_path):
     source = write_messages(tmp_path / "in", spark, [texts(sample(spark, 0, 4))])
     seen = []

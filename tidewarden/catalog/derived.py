@@ -176,8 +176,14 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def copied_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every incident as one to three equal messages."""
+    """Every incident as one to three equal messages, every eleventh also as an amendment, contained and at 60 %."""
     rows = incidents(spark, sf_dir)
+    amended = rows.filter(F.col("event_id") % 11 == 4).withColumns(
+        {
+            "clients_affected_pct": F.lit(60.0),
+            "containment_timestamp": F.col("detection_timestamp") + F.expr("INTERVAL 90 HOURS"),
+        }
+    )
     copies = (F.col("event_id") % 3 + 1).cast("int")
-    sent = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+    sent = rows.unionByName(amended).withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
     return event_json.encode(sent.select(*schemas.columns(schemas.INCIDENT))).select("value")

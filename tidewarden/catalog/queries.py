@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ from tidewarden import schemas
 from tidewarden.catalog import derived as given
 from tidewarden.config import JobConfig, Thresholds
 from tidewarden.functions.jsontext import list_text
-from tidewarden.functions.session import fresh_dir, prepare
+from tidewarden.functions.session import prepare, scratch_dir
 from tidewarden.operators import audit as auditing
 from tidewarden.operators import charts, classify, deadlines, incremental, marts, quality, staging, summary
 from tidewarden.operators.enrich import enrich
@@ -21,7 +23,7 @@ from tidewarden.plans.scheduled import RunPaths, read_run_log, run_scheduled
 from tidewarden.sources import events as event_json
 from tidewarden.sources import external, tables
 from tidewarden.sources.vendors import load_vendors
-from tidewarden.streaming import job
+from tidewarden.streaming import fold, job
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -113,9 +115,20 @@ def staging_vendors(spark, sf_dir):
 
 @query
 def vendor_csv(spark, sf_dir):
-    folder = fresh_dir(spark, "vendors")
-    written = given.padded_vendors(spark, sf_dir).withColumn(
-        "eu_headquartered", F.when(F.col("eu_headquartered"), " TRUE").otherwise("False")
+    """Columns in another order, tabs and blanks around values, and each vendor listed twice, wrong at first."""
+    folder = f"{scratch_dir(spark, 'vendors')}/csv"
+    right = given.padded_vendors(spark, sf_dir).withColumns(
+        {
+            "eu_headquartered": F.when(F.col("eu_headquartered"), " TRUE\t").otherwise("False"),
+            "vendor_name": F.concat(F.lit("\t"), "vendor_name", F.lit(" \t")),
+            "vendor_type": F.concat("vendor_type", F.lit("\t")),
+        }
+    )
+    # One file, the wrong rows before the right ones.
+    wrong = right.withColumns({"vendor_type": F.lit("outdated"), "concentration_risk_score": F.lit(0), "late": F.lit(0)})
+    written = wrong.unionByName(right.withColumn("late", F.lit(1))).coalesce(1).sortWithinPartitions("late")
+    written = written.select(
+        "concentration_risk_score", "designated_critical", "vendor_name", "eu_headquartered", F.lit("x").alias("remark"), "vendor_type"
     )
     # Writers keep the blanks only if told to.
     options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -225,6 +238,12 @@ def chart_volume(spark, sf_dir):
     return charts.volume_by_period(marts.regulatory_report(derived(spark, sf_dir)))
 
 
+@query
+def chart_top_vendors(spark, sf_dir):
+    """The twenty vendors that most institutions depend on; ties in order of tier and name."""
+    return charts.vendor_concentration(marts.vendor_risk(derived(spark, sf_dir), given.as_of()), limit=20)
+
+
 @query
 def adhoc_metric(spark, sf_dir):
     return charts.metric(
@@ -284,21 +303,60 @@ def dq_totals(spark, sf_dir):
 
 @query
 def dq_model_tests(spark, sf_dir):
-    rows = staging.stage_incidents(given.flawed(spark, sf_dir))
-    names = staging.stage_vendors(given.duplicated_vendors(spark, sf_dir), given.HYPERSCALERS)
-    shared = deadlines.derive(rows, names, given.as_of())
+    """The tests over stored models, as a run leaves them."""
+    folder = scratch_dir(spark, "models")
+    store = lambda frame, name: tables.materialise(frame, f"{folder}/{name}")
+    rows = store(staging.stage_incidents(given.flawed(spark, sf_dir)), "stg_incidents")
+    names = store(staging.stage_vendors(given.duplicated_vendors(spark, sf_dir), given.HYPERSCALERS), "stg_vendors")
+    shared = store(deadlines.derive(rows, names, given.as_of()), "derived")
     return quality.model_tests(
         {
             "stg_incidents": rows,
             "stg_vendors": names,
             "derived": shared,
-            "regulatory_report": marts.regulatory_report(shared),
-            "vendor_risk": marts.vendor_risk(shared, given.as_of()),
-            "breach_register": marts.breach_register(shared),
+            "regulatory_report": store(marts.regulatory_report(shared), "regulatory_report"),
+            "vendor_risk": store(marts.vendor_risk(shared, given.as_of()), "vendor_risk"),
+            "breach_register": store(marts.breach_register(shared), "breach_register"),
         }
     )
 
 
+SUITE_FILE = {
+    "expectation_suite_name": "incidents",
+    "expectations": [
+        {"expectation_type": "expect_column_to_exist", "kwargs": {"column": "timestamp"}, "meta": {}},
+        {"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": "timestamp"}},
+        {
+            "expectation_type": "expect_column_values_to_not_be_null",
+            "kwargs": {
+                "column": "containment_timestamp",
+                "row_condition": "detection_timestamp < timestamp and incident_type <> 'timestamp'",
+                "condition_parser": "spark",
+            },
+        },
+        {"expectation_type": "expect_column_values_to_be_in_set", "kwargs": {"column": "severity", "value_set": ["critical", "major", "minor"]}},
+        {"expectation_type": "expect_column_values_to_be_between", "kwargs": {"column": "financial_impact_eur", "min_value": 0}},
+        {"expectation_type": "expect_table_row_count_to_be_between", "kwargs": {"min_value": 1}},
+    ],
+}
+
+
+def suite_from_file(spark):
+    folder = f"{scratch_dir(spark, 'suite')}/json"
+    spark.createDataFrame([(json.dumps(SUITE_FILE, indent=1),)], "value string").coalesce(1).write.text(folder)
+    return quality.read_suite(spark, folder)
+
+
+@query
+def dq_suite_from_file(spark, sf_dir):
+    return quality.run_suite(given.flawed(spark, sf_dir), suite_from_file(spark))
+
+
+@query
+def dq_gate_outcome(spark, sf_dir):
+    return quality.gate_outcome(quality.run_suite(given.flawed(spark, sf_dir), suite_from_file(spark)))
+
+
 @query
 def offending_values(spark, sf_dir):
     return quality.assert_between(given.flawed(spark, sf_dir), "clients_affected_pct", 0, 100)
@@ -330,7 +388,7 @@ class Loaded:
 def loaded_once(spark, sf_dir) -> Loaded:
     """A table holding the rows up to a time, but for some that arrive late."""
     source = given.classified(spark, sf_dir)
-    path = fresh_dir(spark, "landed")
+    path = f"{scratch_dir(spark, 'landed')}/table"
     early = source.filter(
         (F.col("incident_ts") <= F.lit(given.LOAD_UNTIL).cast("timestamp")) & (F.col("event_id") % 17 != 3)
     )
@@ -351,9 +409,12 @@ def incremental_load(spark, sf_dir):
 
 @query
 def late_rows(spark, sf_dir):
+    """Source and target both laid out by day."""
     once = loaded_once(spark, sf_dir)
-    target = tables.read_rows(spark, once.path, "incidents_classified")
-    return incremental.late_rows(once.source, target).select("incident_id", "incident_ts", "severity")
+    path = f"{scratch_dir(spark, 'source')}/table"
+    tables.load_rows(once.source, path, "incidents_classified")
+    source, target = (tables.read_rows(spark, p, "incidents_classified") for p in (path, once.path))
+    return incremental.late_rows(source, target, day="incident_day").select("incident_id", "incident_ts", "severity")
 
 
 @query
@@ -365,7 +426,7 @@ def serving_rows(spark, sf_dir):
 
 @query
 def partitioned_scan(spark, sf_dir):
-    path = fresh_dir(spark, "classified")
+    path = f"{scratch_dir(spark, 'classified')}/table"
     tables.load_rows(given.classified(spark, sf_dir), path, "incidents_classified")
     return tables.read_rows(
         spark, path, "incidents_classified",
@@ -376,7 +437,7 @@ def partitioned_scan(spark, sf_dir):
 @query
 def declared_tables(spark, sf_dir):
     """Declare the tables twice, append to all three, count each by day."""
-    location = fresh_dir(spark, "warehouse")
+    location = scratch_dir(spark, "warehouse")
     database = "tw_" + location.rsplit("-", 1)[1]
     for _ in range(2):
         tables.create_tables(spark, database, location)
@@ -395,14 +456,26 @@ def declared_tables(spark, sf_dir):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
-def two_runs(spark, sf_dir):
+STARTED = datetime(2024, 4, 10, tzinfo=timezone.utc)
+
+
+def two_runs(spark, sf_dir, database: str | None = None):
     """The scheduled run on the rows up to a time, then again on all rows."""
     source = given.classified(spark, sf_dir).select(*schemas.columns(schemas.CLASSIFIED))
-    paths = RunPaths(fresh_dir(spark, "runs"))
+    paths = RunPaths(scratch_dir(spark, "runs"))
     vendors = given.vendors(spark, sf_dir)
     first = source.filter(F.col("incident_ts") <= F.lit(given.LOAD_UNTIL).cast("timestamp"))
-    run_scheduled(spark, first, vendors, paths, given.AS_OF, "run-1")
-    return run_scheduled(spark, source, vendors, paths, given.AS_OF, "run-2"), paths
+    ends = iter((90, 420))
+
+    def run(rows: DataFrame, run_id: str):
+        """A run with a given start and end, so that its logged time is known."""
+        return run_scheduled(
+            spark, rows, vendors, paths, given.AS_OF, run_id, started=STARTED, database=database,
+            clock=lambda: STARTED + timedelta(seconds=next(ends)),
+        )
+
+    run(first, "run-1")
+    return run(source, "run-2"), paths
 
 
 @query
@@ -414,7 +487,23 @@ def scheduled_report(spark, sf_dir):
 @query
 def run_log(spark, sf_dir):
     _, paths = two_runs(spark, sf_dir)
-    return read_run_log(spark, paths).select("run_id", "record_count", "loaded_count")
+    return read_run_log(spark, paths).select("run_id", "record_count", "loaded_count", "runtime_seconds")
+
+
+@query
+def scheduled_tables(spark, sf_dir):
+    """The marts of two runs, read through the catalog."""
+    database = "tw_" + scratch_dir(spark, "marts").rsplit("-", 1)[1]
+    two_runs(spark, sf_dir, database)
+    report = spark.table(f"{database}.regulatory_report")
+    risk = spark.table(f"{database}.vendor_risk")
+    breaches = spark.table(f"{database}.breach_register")
+    return (
+        report.select(F.lit("regulatory_report").alias("mart"), F.col("compliance_status").alias("kind"))
+        .unionByName(risk.select(F.lit("vendor_risk").alias("mart"), F.col("concentration_risk_tier").alias("kind")))
+        .unionByName(breaches.select(F.lit("breach_register").alias("mart"), F.col("severity").alias("kind")))
+        .groupBy("mart", "kind").agg(F.count(F.lit(1)).alias("found"))
+    )
 
 
 # Event JSON
@@ -469,10 +558,7 @@ def severity_routing(spark, sf_dir):
 
 @query
 def batch_summary(spark, sf_dir):
-    rows = parsed(spark, sf_dir)
-    return summary.batch_summary(
-        classify.classify(event_json.good_rows(rows)), event_json.rejected_rows(rows)
-    )
+    return summary.decoded_summary(classify.classify(parsed(spark, sf_dir)))
 
 
 @query
@@ -485,7 +571,7 @@ def smoke_summary(spark, sf_dir):
 
 
 def streamed(spark, messages: DataFrame, dedup_within: str | None = None, replay: bool = False) -> str:
-    root = fresh_dir(spark, "stream")
+    root = scratch_dir(spark, "stream")
     messages.write.text(f"{root}/input")
     source = external.text_stream(spark, f"{root}/input")
     # A second start from a new checkpoint delivers the same batches again.
@@ -514,8 +600,20 @@ def stream_replay(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
+    """Copies of events and events that amend others under the same id: every distinct event stays once."""
     root = streamed(spark, given.copied_messages(spark, sf_dir), dedup_within="1 hour")
-    return job.read_classified(spark, root).select("incident_id", "severity")
+    return job.read_classified(spark, root).select("incident_id", "clients_affected_pct", "severity")
+
+
+@query
+def stream_folded(spark, sf_dir):
+    """Two folds of the batches of a stream, the second run twice."""
+    root = streamed(spark, given.messages(spark, sf_dir))
+    landed = f"{root}/landed"
+    for until in (0, 1_000, 1_000):
+        fold.fold_batches(spark, root, landed, "q1", until)
+    rows = fold.read_folded(spark, landed, "q1")
+    return rows.groupBy(F.col("incident_day").cast("string").alias("day"), "severity").agg(F.count(F.lit(1)).alias("stored"))
 
 
 @query

@@ -37,9 +37,13 @@ HIGH_EXPOSURE_FROM = 5
 MEDIUM_EXPOSURE_FROM = 2
 LOOKBACK_DAYS = 90
 
+# The compliance statuses and the concentration tiers.
 COMPLIANCE_STATUSES = ("COMPLIANT", "AT_RISK", "NON_COMPLIANT")
 CONCENTRATION_TIERS = ("HIGH", "MEDIUM", "LOW")
 
+# Takes the events that carry no tier with a topic of its own.
+UNTIERED_TOPIC = "incidents.untiered"
+
 PIPELINE_VERSION = "1.0.0"
 CLASSIFIER_VERSION = "1.0.0"
 
@@ -104,6 +108,7 @@ class JobConfig:
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> JobConfig:
         """Read the settings from environment variables, keeping the default of each unset one."""
+        # The names of the variables.
         env = os.environ if env is None else env
         base = cls()
         return cls(

@@ -35,6 +35,17 @@ def fresh_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def scratch_dir(spark: SparkSession, purpose: str) -> str:
+    """A new path below the shared folder, removed when the application ends."""
+    path = fresh_dir(spark, purpose)
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    # Only paths that exist can be marked.
+    file_system.mkdirs(hadoop_path)
+    file_system.deleteOnExit(hadoop_path)
+    return path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether the path exists on whatever file system it names."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from tidewarden.functions.numbers import mean_of_hundredths
 
-ROW_LIMIT = 10_000
-VENDOR_ROW_LIMIT = 1_000
-
 AGGREGATES = {
     "avg": F.avg,
     "sum": F.sum,
@@ -27,14 +24,17 @@ AGGREGATES = {
 def metric(
     df: DataFrame,
     dims: Sequence[str | Column],
-    metrics: Mapping[str, tuple[str, str] | str],
+    metrics: Mapping[str, tuple[str, str] | str] | Sequence[tuple[str, str]],
     where: str | None = None,
     limit: int | None = None,
 ) -> DataFrame:
     """Group by `dims` and compute labelled metrics: (aggregate, column) or a SQL expression.
 
-    With a limit the rows with the largest first metric are kept, ties in order of the dimensions.
+    Pairs given without labels are labelled as `AVG(column)`. All groups are returned unless the caller asks for a
+    limit; then the rows with the largest first metric are kept, ties in order of the dimensions.
     """
+    if not isinstance(metrics, Mapping):
+        metrics = {f"{kind.upper()}({column})": (kind, column) for kind, column in metrics}
     rows = df if where is None else df.filter(where)
     computed = [
         (F.expr(spec) if isinstance(spec, str) else AGGREGATES[spec[0].lower()](spec[1])).alias(label)
@@ -50,35 +50,35 @@ def metric(
     return result.orderBy(*order).limit(limit)
 
 
-def compliance_by_institution(report: DataFrame) -> DataFrame:
+def compliance_by_institution(report: DataFrame, limit: int | None = None) -> DataFrame:
     return metric(
         report,
         ["institution_id", "compliance_status"],
         {"avg_compliance_rate_pct": ("avg_hundredths", "compliance_rate_pct")},
-        limit=ROW_LIMIT,
+        limit=limit,
     )
 
 
-def vendor_concentration(vendor_risk: DataFrame) -> DataFrame:
+def vendor_concentration(vendor_risk: DataFrame, limit: int | None = None) -> DataFrame:
     return metric(
         vendor_risk,
         ["concentration_risk_tier", "ict_third_party_provider"],
         {"sum_institutions_exposed": ("sum", "institutions_exposed")},
-        limit=VENDOR_ROW_LIMIT,
+        limit=limit,
     )
 
 
-def breach_timeline(breaches: DataFrame) -> DataFrame:
+def breach_timeline(breaches: DataFrame, limit: int | None = None) -> DataFrame:
     return metric(
         breaches,
         [F.date_format(F.date_trunc("day", "detection_timestamp"), "yyyy-MM-dd").alias("detection_day")],
         {"breach_count": "count(*)"},
         where="sla_breached = true",
-        limit=ROW_LIMIT,
+        limit=limit,
     )
 
 
-def volume_by_period(report: DataFrame) -> DataFrame:
+def volume_by_period(report: DataFrame, limit: int | None = None) -> DataFrame:
     return metric(
         report,
         ["reporting_period"],
@@ -86,5 +86,5 @@ def volume_by_period(report: DataFrame) -> DataFrame:
             f"sum_incident_count_{tier}": ("sum", f"incident_count_{tier}")
             for tier in ("critical", "major", "minor")
         },
-        limit=ROW_LIMIT,
+        limit=limit,
     )

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tidewarden import schemas
 from tidewarden.functions.jsontext import list_text
-from tidewarden.functions.session import fresh_dir
-from tidewarden.operators.lookup import BROADCAST_BYTES, semi_lookup
+from tidewarden.functions.session import scratch_dir
+from tidewarden.operators.lookup import BROADCAST_BYTES, left_lookup
 from tidewarden.sources.tables import materialise
 
 
@@ -49,16 +49,21 @@ def late_rows(
     column: str = "incident_ts",
     key: str = "incident_id",
     limit: int = BROADCAST_BYTES,
+    day: str | None = None,
 ) -> DataFrame:
-    """Source rows at or before the target's watermark whose key the target lacks.
+    """Source rows at or before the target's watermark whose key the target lacks; rows without a key are among them.
 
-    The keys of both sides are reduced per key first, so a key with very many rows reaches the
-    shuffle once per task; only the keys found late are looked up among the source rows.
+    The keys of both sides are reduced per key first, so a key with very many rows reaches the shuffle once per task;
+    only the keys found late are looked up among the source rows. With the name of a day partition that both sides
+    have, the watermark comes from the target's last day and later days of the source are not read.
     """
-    mark = watermark(target, column)
+    mark = watermark(target, column, day)
     if mark is None:
         return source.limit(0)
-    due = source.filter(F.col(column) <= F.lit(mark))
+    bound = F.lit(mark)
+    due = source.filter(F.col(column) <= bound)
+    if day is not None:
+        due = due.filter(F.col(day) <= F.to_date(bound))
     sides = due.select(key, F.lit(False).alias("loaded")).unionByName(
         target.select(key, F.lit(True).alias("loaded"))
     )
@@ -66,11 +71,9 @@ def late_rows(
         ~F.col("loaded") & F.col(key).isNotNull()
     )
     # Written once: its size decides the join, and the join reads it again.
-    missing = materialise(missing.select(key), fresh_dir(source.sparkSession, "late-keys"))
-    # Rows without a key are never found in the target, as in an anti join.
-    keyless = due.filter(F.col(key).isNull())
-    named = due.filter(F.col(key).isNotNull())
-    return semi_lookup(named, missing, key, limit).unionByName(keyless)
+    missing = materialise(missing.select(key), scratch_dir(source.sparkSession, "late-keys"))
+    flagged = left_lookup(due, missing.withColumn("is_missing", F.lit(True)), key, key, limit)
+    return flagged.filter(F.col("is_missing") | F.col(key).isNull()).drop("is_missing")
 
 
 def serving_rows(classified: DataFrame) -> DataFrame:

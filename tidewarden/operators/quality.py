@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewarden import schemas
@@ -41,10 +42,35 @@ RESULT_SCHEMA = (
 )
 
 
+# Public names of the arguments a suite file may give; the rest of an entry says nothing about the data.
+ARGUMENTS = frozenset({"column", "value_set", "min_value", "max_value", "row_condition", "condition_parser"})
+ENTRY_KEYS = frozenset({"expectation_type", "kwargs", "meta", "notes", "ge_cloud_id"})
+
+# A quoted text, or an identifier with or without back quotes.
+_WORD_OR_TEXT = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]+`|[A-Za-z_][A-Za-z_0-9]*")
+
+
+def _renamed(condition: str, column_of: Mapping[str, str]) -> str:
+    """The condition with JSON keys replaced by their columns: whole identifiers only, texts left alone."""
+
+    def name(found: re.Match[str]) -> str:
+        word = found.group()
+        bare = word.strip("`")
+        return column_of.get(bare, bare) if word[0] == "`" or word[0] not in "'\"" and bare in column_of else word
+
+    return _WORD_OR_TEXT.sub(name, condition)
+
+
+def read_suite(spark: SparkSession, path: str, names: WireNames = WireNames()) -> list[Check]:
+    """The suite of a JSON file on any file system Spark reads."""
+    return load_suite(spark.read.text(path, wholetext=True).first()["value"], names)
+
+
 def load_suite(text: str, names: WireNames = WireNames()) -> list[Check]:
     """Read a suite from JSON: a list of checks, or an object with `expectations`.
 
-    Columns may be given by their JSON key; `row_condition` must be a condition Spark SQL reads.
+    Columns may be given by their JSON key; `row_condition` must be a condition Spark SQL reads. An argument that is
+    not supported is an error: without it the check would mean something else.
     """
     column_of = {key: column for column, key in names.pairs()}
     raw = json.loads(text)
@@ -53,16 +79,16 @@ def load_suite(text: str, names: WireNames = WireNames()) -> list[Check]:
     suite = []
     for entry in raw["expectations"]:
         given = entry.get("kwargs", {})
+        unknown = sorted((set(given) - ARGUMENTS) | (set(entry) - ENTRY_KEYS))
+        if unknown:
+            raise ValueError(f"not supported in {entry['expectation_type']}: {', '.join(unknown)}")
         check: Check = {"check": EXPECTATIONS[entry["expectation_type"]]}
         if "column" in given:
             check["column"] = column_of.get(given["column"], given["column"])
         if "value_set" in given:
             check["values"] = given["value_set"]
         if "row_condition" in given:
-            condition = given["row_condition"]
-            for key, column in column_of.items():
-                condition = condition.replace(key, column) if key != column else condition
-            check["where"] = condition
+            check["where"] = _renamed(given["row_condition"], column_of)
         if check["check"] in ("between", "row_count"):
             check |= {"min": given.get("min_value"), "max": given.get("max_value")}
         suite.append(check)
@@ -150,6 +176,20 @@ def gate(results: DataFrame) -> None:
         raise QualityGateError(f"{len(failed)} checks failed: {shown}")
 
 
+def gate_outcome(results: DataFrame) -> DataFrame:
+    """The gate's decision as rows: one with `stop` or `go` and the number of failed checks, then each failed check."""
+    failed = ~F.col("success")
+    decision = F.when(F.count_if(failed) > 0, "stop").otherwise("go")
+    verdict = results.agg(decision.alias("decision"), F.count_if(failed).alias("failed")).select(
+        "decision", "failed", F.lit(None).cast("int").alias("check_id"), F.lit(None).cast("string").alias("check"),
+        F.lit(None).cast("string").alias("column"), F.lit(None).cast("bigint").alias("unexpected"),
+    )
+    each = results.filter(failed).select(
+        F.lit("stop").alias("decision"), F.lit(None).cast("bigint").alias("failed"), "check_id", "check", "column", "unexpected"
+    )
+    return verdict.unionByName(each)
+
+
 def totals(results: DataFrame) -> DataFrame:
     """Number of checks, passed and failed, and the overall outcome."""
     return results.agg(
@@ -233,25 +273,36 @@ MODEL_CHECKS: dict[str, list[Check]] = {
 def model_tests(models: Mapping[str, DataFrame]) -> DataFrame:
     """One row per model test: model, test, column, failures, passed.
 
-    `models` maps each name of MODEL_CHECKS to its frame. Per model one aggregate covers the column
-    checks; uniqueness and the provider reference each need their own grouping.
+    `models` maps each name of MODEL_CHECKS to its frame, best a stored one: each is read once for its column checks,
+    and the columns of the two providers' tests once more. Providers of incidents and names of vendors meet in one
+    grouping, which shows both the names that occur twice and the providers that no vendor has.
     """
     parts = [_as_failures(run_suite(models[name], checks), name) for name, checks in MODEL_CHECKS.items()]
-    for model, column in (("stg_vendors", "vendor_name"), ("vendor_risk", "ict_third_party_provider")):
-        parts.append(
-            _one_failure(duplicates(models[model], column), model, "unique", column, F.count(F.lit(1)))
-        )
     parts.append(
         _one_failure(
-            orphans(
-                models["stg_incidents"], "ict_third_party_provider", models["stg_vendors"], "vendor_name"
-            ),
-            "stg_incidents",
-            "relationship",
-            "ict_third_party_provider",
-            F.sum("copies"),
+            duplicates(models["vendor_risk"], "ict_third_party_provider"),
+            "vendor_risk", "unique", "ict_third_party_provider", F.count(F.lit(1)),
         )
     )
+    sides = (
+        models["stg_incidents"].select(F.col("ict_third_party_provider").alias("name"), F.lit(0).alias("listed"))
+        .unionByName(models["stg_vendors"].select(F.col("vendor_name").alias("name"), F.lit(1).alias("listed")))
+        .filter("name is not null")
+    )
+    met = sides.groupBy("name").agg(F.sum("listed").alias("listed"), F.count_if(F.col("listed") == 0).alias("used"))
+    both = met.agg(
+        F.count_if(F.col("listed") > 1).alias("twice"), F.coalesce(F.sum(F.when(F.col("listed") == 0, F.col("used"))), F.lit(0)).alias("lost")
+    )
+    shown = F.array(
+        *[
+            F.struct(F.lit(model).alias("model"), F.lit(test).alias("test"), F.lit(column).alias("column"), F.col(n).alias("failures"))
+            for model, test, column, n in (
+                ("stg_vendors", "unique", "vendor_name", "twice"),
+                ("stg_incidents", "relationship", "ict_third_party_provider", "lost"),
+            )
+        ]
+    )
+    parts.append(both.select(F.inline(shown)))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)

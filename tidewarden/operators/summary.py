@@ -20,6 +20,16 @@ def batch_summary(classified: DataFrame, rejected: DataFrame) -> DataFrame:
     )
 
 
+def decoded_summary(judged: DataFrame) -> DataFrame:
+    """The same counts from one frame of classified rows with `error_reason`, so that they are parsed once."""
+    good, tier = F.col("error_reason").isNull(), F.col("severity")
+    return judged.agg(
+        F.count_if(good).alias("processed"),
+        *[F.count_if(good & (tier == name)).alias(name) for name in TIERS],
+        F.count_if(~good).alias("rejected"),
+    )
+
+
 def since_start(df: DataFrame, start: str, column: str) -> DataFrame:
     """Rows of a run: time known and not before the start (UTC text)."""
     return df.filter(F.col(column).isNotNull() & (F.col(column) >= F.lit(start).cast("timestamp")))

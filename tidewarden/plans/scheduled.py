@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,10 +52,14 @@ def load_new(spark: SparkSession, source: DataFrame, path: str) -> int:
     mark = incremental.watermark(landed, "incident_ts", DAY)
     day = DAY if DAY in source.columns else None
     new = incremental.newer_than(source, mark, "incident_ts", day)
-    before = 0 if landed is None else landed.count()
     # A target that exists but holds no row has no watermark and is replaced, as on the first load.
     tables.write_rows(new, path, TABLE, "overwrite" if mark is None else "append")
-    return tables.read_rows(spark, path, TABLE).count() - before
+    # Only the days from the watermark on are counted, whatever else has been written meanwhile.
+    return incremental.newer_than(tables.read_rows(spark, path, TABLE), mark, "incident_ts", DAY).count()
+
+
+def now() -> datetime:
+    return datetime.now(timezone.utc)
 
 
 def run_scheduled(
@@ -63,27 +69,36 @@ def run_scheduled(
     paths: RunPaths,
     as_of: str,
     run_id: str,
-    runtime_seconds: float | None = None,
+    started: datetime | None = None,
     suite: list[quality.Check] = quality.INCIDENT_SUITE,
+    database: str | None = None,
+    clock: Callable[[], datetime] = now,
 ) -> RunResult:
     """Run the chain for a time given as UTC text. A failed check stops it before any mart is built.
 
+    The logged run time is the time from `started` (this call, unless an earlier start is given) to the writing of the
+    log row. With a `database` the marts are tables of the catalog; it is created if it is not there.
+
     The shared layer is a plan, not a table: it is a projection with one broadcast join, so each mart
     scans only the columns it needs instead of all of them being written and read back. Staging and
     the shared layer become views and the marts tables, each with a temporary view for SQL.
     """
+    started = started or clock()
+    if database is not None:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{paths.root}/database'")
+    table_name = lambda name: None if database is None else f"{database}.{name}"
     loaded = load_new(spark, source, paths.landed)
     landed = tables.read_rows(spark, paths.landed, TABLE)
 
     checks = tables.materialise(quality.run_suite(landed, suite), paths.log(f"checks/run_id={run_id}"))
     quality.gate(checks)
 
-    now = F.lit(as_of).cast("timestamp")
+    at = F.lit(as_of).cast("timestamp")
     staged, names = staging.stage_incidents(landed), staging.stage_vendors(vendors)
-    derived = derive(staged, names, now)
-    report = tables.materialise(marts.regulatory_report(derived), paths.mart("regulatory_report"))
-    risk = tables.materialise(marts.vendor_risk(derived, now), paths.mart("vendor_risk"))
-    breaches = tables.materialise(marts.breach_register(derived), paths.mart("breach_register"))
+    derived = derive(staged, names, at)
+    report = tables.materialise(marts.regulatory_report(derived), paths.mart("regulatory_report"), table_name("regulatory_report"))
+    risk = tables.materialise(marts.vendor_risk(derived, at), paths.mart("vendor_risk"), table_name("vendor_risk"))
+    breaches = tables.materialise(marts.breach_register(derived), paths.mart("breach_register"), table_name("breach_register"))
     alerts = tables.materialise(marts.compliance_alerts(report), paths.log(f"alerts/run_id={run_id}"))
 
     views = {
@@ -97,7 +112,8 @@ def run_scheduled(
     for name, frame in views.items():
         frame.createOrReplaceTempView(name)
 
-    incremental.run_log(landed, loaded, run_id, now, runtime_seconds).write.mode("append").parquet(
+    runtime = (clock() - started).total_seconds()
+    incremental.run_log(landed, loaded, run_id, at, runtime).write.mode("append").parquet(
         paths.log("runs")
     )
     return RunResult(report, risk, breaches, alerts, checks, loaded)

@@ -15,6 +15,7 @@ from tidewarden.config import (
     PIPELINE_VERSION,
     TIERS,
     WireNames,
+    UNTIERED_TOPIC,
 )
 from tidewarden.functions import jsontext, keys
 from tidewarden.functions.plan import pinned
@@ -302,9 +303,15 @@ def enriched_messages(
     )
 
 
-def route(events: DataFrame, tier_topics: dict[str, str], names: WireNames = WireNames()) -> DataFrame:
-    """(topic, key, value) messages, the topic chosen by the tier the event carries."""
-    topic = F.lit(None).cast("string")
+def route(
+    events: DataFrame, tier_topics: dict[str, str], names: WireNames = WireNames(), other_topic: str = UNTIERED_TOPIC
+) -> DataFrame:
+    """(topic, key, value) messages, the topic chosen by the tier the event carries.
+
+    An event without a tier, or with one that has no topic, goes to `other_topic`: a message without a topic would
+    fail its whole batch.
+    """
+    topic = F.lit(other_topic)
     for tier, name in tier_topics.items():
         topic = F.when(F.col("severity") == tier, F.lit(name)).otherwise(topic)
     return events.select(

@@ -52,6 +52,36 @@ def _spread(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partitions)
 
 
+def dealt(df: DataFrame, partitions: Sequence[str], rows_per_file: int) -> DataFrame:
+    """Group rows by target partition with or without AQE, which is off in the batches of a stateful stream.
+
+    The rows of each partition are counted; one of more than `rows_per_file` is split into as many parts as that
+    asks for. At most one such partition per `rows_per_file` rows of the batch comes back to the driver.
+    """
+    counts = df.groupBy(*partitions).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows_per_file)
+    part = F.lit(0)
+    for row in counts.collect():
+        here = F.lit(True)
+        for name in partitions:
+            here = here & F.col(name).eqNullSafe(F.lit(row[name]))
+        part = F.when(here, F.pmod(F.xxhash64("incident_id"), F.lit(-(-row["n"] // rows_per_file))).cast("int")).otherwise(part)
+    return df.repartition(*partitions, part)
+
+
+def write_dealt(df: DataFrame, path: str, table: str, rows_per_file: int) -> None:
+    """Overwrite a folder in the layout of a table, one file for each target partition and part of it."""
+    partitions = LAYOUT[table][1]
+    rows = with_partition_days(df, table).select(*table_schema(table).fieldNames())
+    dealt(rows, partitions, rows_per_file).write.mode("overwrite").partitionBy(*partitions).parquet(path)
+
+
+def write_as_dealt(df: DataFrame, path: str, table: str, files: int) -> None:
+    """Overwrite a folder whose rows all have one target partition: no shuffle, at most `files` tasks."""
+    partitions = LAYOUT[table][1]
+    rows = with_partition_days(df, table).select(*table_schema(table).fieldNames())
+    rows.coalesce(files).write.mode("overwrite").partitionBy(*partitions).parquet(path)
+
+
 def append_to_table(df: DataFrame, database: str, table: str) -> None:
     """Append rows to a declared table."""
     partitions = LAYOUT[table][1]
@@ -100,7 +130,13 @@ def read_rows(
     return rows
 
 
-def materialise(df: DataFrame, path: str) -> DataFrame:
-    """Write a mart and read it back: later readers share one computation."""
+def materialise(df: DataFrame, path: str, name: str | None = None) -> DataFrame:
+    """Write a mart and read it back: later readers share one computation.
+
+    With a name (`database.table`) it is a table of the catalog at that path, found after the session has ended.
+    """
+    if name is not None:
+        df.write.mode("overwrite").option("path", path).saveAsTable(name)
+        return df.sparkSession.table(name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -13,12 +15,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewarden import schemas
 from tidewarden.config import JobConfig, Thresholds, WireNames
+from tidewarden.functions import keys
 from tidewarden.operators import audit as auditing
 from tidewarden.operators import classify as rules
 from tidewarden.operators.enrich import enrich
-from tidewarden.operators.summary import batch_summary
+from tidewarden.operators.summary import decoded_summary
 from tidewarden.sources import events, tables
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Queries started here, and the flag that keeps a further batch from starting.
+_STOPPING: dict[str, threading.Event] = {}
+
 ASSIGNED = ("severity", "notify_required", "notify_deadline_hours")
 BATCH_DIRS = T.StructType(
     [T.StructField("query_id", T.StringType()), T.StructField("batch_id", T.LongType())]
@@ -44,6 +52,7 @@ class Sinks:
     publish: Callable[[DataFrame, JobConfig], None] | None = None
     vendors: DataFrame | None = None
     storage_level: StorageLevel = field(default_factory=lambda: StorageLevel.MEMORY_AND_DISK)
+    rows_per_file: int = 1_000_000
 
     def folder(self, table: str, batch_id: int) -> str:
         return f"{self.root}/{table}/query_id={self.query_id}/batch_id={batch_id}"
@@ -55,14 +64,16 @@ def prepare(raw: DataFrame, names: WireNames = WireNames(), dedup_within: str |
     `processed_at` is the time of the micro-batch, which Spark keeps in the checkpoint, so a batch
     that is run again gets the same stamp. With `dedup_within` (such as "1 hour") a record that
     arrives again within that time is dropped; the span is measured in arrival time, so no event is
-    ever too late to be kept.
+    ever too late to be kept. Only an event equal in all its fields is a repeat: one that amends an
+    earlier event under the same id is another event. Each identity is kept in two states for the
+    span, by input task and as a whole, so that copies in one task meet before the shuffle.
     """
     parsed = events.parse(raw, F.current_timestamp(), names)
     if dedup_within is None:
         return parsed
-    identity = F.when(F.col("error_reason").isNull(), F.col("incident_id")).otherwise(
-        F.sha2(F.col("value"), 256)
-    )
+    # An event that names no time is stamped on arrival, so its text tells it from others.
+    decoded = F.col("error_reason").isNull() & (F.col("incident_ts") != F.col("processed_at"))
+    identity = F.when(decoded, keys.record_hash(names)).otherwise(F.sha2(F.col("value"), 256))
     return (
         parsed.withColumns({"identity": identity, "lane": F.spark_partition_id()})
         .withWatermark("processed_at", dedup_within)
@@ -92,15 +103,16 @@ def write_batch(parsed: DataFrame, batch_id: int, sinks: Sinks) -> None:
         good = batch.filter(F.col("error_reason").isNull())
         stored = sinks.folder("incidents_classified", batch_id)
         rejected = sinks.folder("rejected", batch_id)
-        tables.write_rows(
-            _as_arrived(good), sinks.folder("incidents_raw", batch_id), "incidents_raw", "overwrite"
+        tables.write_dealt(
+            _as_arrived(good), sinks.folder("incidents_raw", batch_id), "incidents_raw", sinks.rows_per_file
         )
-        tables.write_rows(good, stored, "incidents_classified", "overwrite")
-        tables.write_rows(
+        tables.write_dealt(good, stored, "incidents_classified", sinks.rows_per_file)
+        # All audit records of a batch have one day: the tasks of the kept batch write them as they are.
+        tables.write_as_dealt(
             auditing.audit(good, F.col("processed_at")),
             sinks.folder("audit_log", batch_id),
             "audit_log",
-            "overwrite",
+            max(spark.sparkContext.defaultParallelism, -(-batch.count() // sinks.rows_per_file)),
         )
         told = good if sinks.vendors is None else enrich(good, sinks.vendors)
         messages = events.enriched_messages(told, sinks.config.enriched_topic, sinks.names)
@@ -110,12 +122,7 @@ def write_batch(parsed: DataFrame, batch_id: int, sinks: Sinks) -> None:
             messages.write.mode("overwrite").parquet(sinks.folder("messages", batch_id))
         events.rejected_rows(batch).write.mode("overwrite").parquet(rejected)
 
-        # Counted from what was written, which a repeated task cannot count twice.
-        counts = batch_summary(
-            tables.read_rows(spark, stored, "incidents_classified"),
-            spark.read.schema(schemas.REJECTED).parquet(rejected),
-        )
-        counts.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "*").write.mode(
+        decoded_summary(batch).select(F.lit(batch_id).cast("bigint").alias("batch_id"), "*").write.mode(
             "overwrite"
         ).parquet(sinks.folder("batch_log", batch_id))
     finally:
@@ -129,20 +136,60 @@ def start_stream(
     available_now: bool = False,
     dedup_within: str | None = None,
 ) -> StreamingQuery:
-    """Start the job on a streaming frame with a `value` column."""
+    """Start the job on a streaming frame with a `value` column.
+
+    With `dedup_within` the session's state store is set to RocksDB, unless it names another provider than Spark's
+    default: the identities of the span would otherwise lie in the executors' heaps.
+    """
+    spark = raw.sparkSession
+    if dedup_within is not None and "HDFSBacked" in spark.conf.get(STATE_STORE, "HDFSBacked"):
+        spark.conf.set(STATE_STORE, ROCKSDB)
     writer = prepare(raw, sinks.names, dedup_within).writeStream.option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     else:
         writer = writer.trigger(processingTime=f"{sinks.config.trigger_seconds} seconds")
-    return writer.foreachBatch(lambda df, batch_id: write_batch(df, batch_id, sinks)).start()
+    stopping = threading.Event()
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        if stopping.is_set():
+            raise StopRequested(f"batch {batch_id} is left for the next start")
+        write_batch(df, batch_id, sinks)
+
+    query = writer.foreachBatch(write).start()
+    _STOPPING[str(query.runId)] = stopping
+    return query
 
 
-def stop_gracefully(query: StreamingQuery, wait_seconds: int = 60) -> None:
-    """Let the batch in flight end, then stop."""
+class StopRequested(RuntimeError):
+    """Ends a query whose next batch began although a stop was asked for; the batch has written nothing."""
+
+
+def _last_batch(query: StreamingQuery) -> int:
+    progress = query.lastProgress
+    return -1 if progress is None else progress["batchId"]
+
+
+def stop_gracefully(query: StreamingQuery, wait_seconds: float = 60, pause: float = 0.02) -> bool:
+    """Let the batch in flight end, keep a further one from starting, and stop. Whether it ended in time.
+
+    A batch is over when its progress is reported or the trigger rests. After `wait_seconds` the query is stopped
+    anyway; the batch that is cut off runs again on the next start.
+    """
+    began, until = _last_batch(query), time.monotonic() + wait_seconds
     if query.isActive and query.status["isTriggerActive"]:
-        query.awaitTermination(wait_seconds)
+        flag = _STOPPING.get(str(query.runId))
+        if flag is not None:
+            # The batch in flight has passed its check already, or will be left to the next start.
+            flag.set()
+        while query.isActive and query.status["isTriggerActive"] and _last_batch(query) == began:
+            if time.monotonic() > until:
+                break
+            time.sleep(pause)
+    in_time = time.monotonic() <= until
     query.stop()
+    _STOPPING.pop(str(query.runId), None)
+    return in_time
 
 
 def _read_folder(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
