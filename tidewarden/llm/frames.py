@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewarden.functions.session import fresh_dir
+from tidewarden.functions.session import scratch_dir
 
 # White space as the contracts name it: blank, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -13,7 +13,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: later work no longer depends on its lineage."""
-    path = fresh_dir(df.sparkSession, purpose)
+    path = f"{scratch_dir(df.sparkSession, purpose)}/rows"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

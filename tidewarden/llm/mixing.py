@@ -7,8 +7,9 @@ order is cut where the tokens reach the total budget.
 
 No source is ever one group of a window. Documents are dealt to small bins by their shuffle key; the bins of a
 source get their starting offsets from a running sum over bin totals, and the running sum inside a bin does the
-rest. Repeated rows are counted first and stand in the queue as one, so that they cannot fill a bin. The global order is cut the same way: totals of finish-time bins say in which bin the budget ends, and only
-that bin's entries are sorted.
+rest. Repeated rows are counted first and stand in the queue as one, so that they cannot fill a bin. The global order
+is cut the same way: totals of finish-time bins say in which bin the budget ends, and only that bin's entries are
+sorted.
 """
 
 from __future__ import annotations
