@@ -123,9 +123,9 @@ def test_files_do_not_grow_with_tasks(spark, tmp_path):
         run(source, job.Sinks(str(root), "q", rows_per_file=50), tmp_path / f"cp-{name}", **options)
         assert job.read_classified(spark, str(root)).count() == 300
         found[name] = {t: files(root, t) for t in ("incidents_raw", "incidents_classified", "audit_log")}
-    # Three days of a hundred rows, each in two parts; with AQE small parts may be written together.
+    # Days of 108, 96 and 96 rows make 3 + 2 + 2 parts; with AQE small parts may be written together.
     for table in ("incidents_classified", "incidents_raw"):
-        assert 3 <= found["plain"][table] <= found["dedup"][table] <= 6
+        assert 3 <= found["plain"][table] <= found["dedup"][table] <= 7
     assert found["dedup"]["audit_log"] > 1
 
 

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewarden.functions.session import scratch_dir
+from tidewarden.sources.tables import materialise
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key is hot when it holds at least one in this many rows, so there are at most this many hot keys.
 HOT_SHARE = 1000
@@ -29,8 +32,10 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
 def hot_keys(facts: DataFrame, key: str) -> DataFrame:
     """The keys that hold at least 1/HOT_SHARE of the keyed rows; never more than HOT_SHARE rows."""
     keyed = facts.filter(F.col(key).isNotNull())
-    total = keyed.count()
+    # Written once, so that the facts are grouped once for the total and the hot keys.
     counts = keyed.groupBy(F.col(key).alias("hot_key")).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialise(counts, scratch_dir(facts.sparkSession, "key-counts"))
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()["total"]
     return counts.filter(F.col("n") * F.lit(HOT_SHARE) >= F.lit(total)).select("hot_key")
 
 

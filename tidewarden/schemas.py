@@ -78,9 +78,3 @@ BATCH_LOG = T.StructType(
 
 def columns(schema: T.StructType) -> list[str]:
     return schema.fieldNames()
-
-
-def with_partitions(schema: T.StructType, **partitions: T.DataType) -> T.StructType:
-    """The schema followed by partition columns that are not data columns already."""
-    extra = [T.StructField(n, t, True) for n, t in partitions.items() if n not in schema.fieldNames()]
-    return T.StructType(schema.fields + extra)
