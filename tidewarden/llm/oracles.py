@@ -50,6 +50,33 @@ ranked AS (
 SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+OP5 = """
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS words FROM documents),
+texts AS (
+  SELECT min(doc_id) AS text_id, count(*) AS n_copies, any_value(words) AS words, list(doc_id) AS ids
+  FROM split GROUP BY CASE WHEN len(words) = 0 THEN [CAST(doc_id AS VARCHAR), ''] ELSE words END),
+shingles AS (
+  SELECT DISTINCT text_id, unnest(
+    CASE WHEN len(words) >= 5 THEN [array_to_string(words[i:i + 4], ' ') FOR i IN range(1, len(words) - 3)]
+         ELSE [array_to_string(words, ' ')] END) AS s
+  FROM texts WHERE len(words) > 0),
+sizes AS (SELECT text_id, count(*) AS n FROM shingles GROUP BY 1),
+common AS (
+  SELECT a.text_id AS a, b.text_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.text_id < b.text_id GROUP BY 1, 2),
+pairs AS (
+  SELECT a, b FROM common c JOIN sizes x ON c.a = x.text_id JOIN sizes y ON c.b = y.text_id
+  WHERE c.n >= 0.8 * (x.n + y.n - c.n)),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least_reached AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT unnest(t.ids) AS doc_id, least(t.text_id, coalesce(r.b, t.text_id)) AS class_id, t.text_id,
+       coalesce(c.n, 0) AS n_links, t.n_copies
+FROM texts t LEFT JOIN least_reached r ON t.text_id = r.a LEFT JOIN counted c ON t.text_id = c.a
+"""
+
 OP8 = """
 WITH rows AS (SELECT *, row_number() OVER () AS rid FROM documents),
 split AS (SELECT rid, doc_id, source, md5(text) AS words, generate_subscripts(string_split(text, chr(10)), 1) AS place,
@@ -69,4 +96,4 @@ SELECT r.doc_id, CASE WHEN j.changed THEN j.text ELSE r.text END AS text, r.lang
 FROM rows r LEFT JOIN joined j USING (rid)
 """
 
-SQL = {"op1_topk": OP1, "op8_line_dedup": OP8, "op9_mixing": OP9}
+SQL = {"op1_topk": OP1, "op5_jaccard": OP5, "op8_line_dedup": OP8, "op9_mixing": OP9}

@@ -63,7 +63,7 @@ def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(column: pa.Array, most_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def chunks(column: pa.Array, most_bytes: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about `most_bytes` in all; a longer value is a range of its own."""
     if len(column) == 0:
         return
