@@ -173,6 +173,28 @@ def test_main_text_of_unseen_pages(spark):
     assert got[900].text == got[901].text == ""
 
 
+def test_other_layouts(rng=random.Random(11)):
+    """Lists, quotes and headers inside the article; comments, notices and forms around it; other names, or none."""
+    labeller = htmlblocks.train([page(rng, k)[0] for k in range(200)])
+    words = lambda n: frames.sentence(rng, n)
+    frame = {
+        "soup": ("<div class='top menu'><ul><li><a href=a>{}</a></ul></div><div class='post content'>", "</div><div class=sidebar><p>{}</p></div>"),
+        "comments": ("<header><p>{}</p></header><article>", "</article><section class=comments><div class=comment><p>{}</p></div></section>"),
+        "notice": ("<div class='cookie notice'>{}</div><main>", "</main><form><label>{}</label></form><footer>{}</footer>"),
+    }
+    wrong = total = 0
+    for k in range(60):
+        before, after = list(frame.values())[k % 3]
+        main = [words(6), *[words(rng.randrange(8, 40)) + "." for _ in range(6)]]
+        inner = f"<header><h1>{main[0]}</h1></header><p>{main[1]}</p><ul><li>{main[2]}</li><li>{main[3]}</li></ul><blockquote>{main[4]}</blockquote><p>{main[5]}</p><p>{main[6]}</p>"
+        whole = f"<html><body>{before.format(words(2))}{inner}{after.format(words(12), words(4))}</body></html>"
+        found = htmlblocks.blocks(whole)
+        kept = labeller.probabilities([htmlblocks.features(found, labeller.shape)])[0] >= 0.5
+        wrong += sum(bool(x) != (b.text in main) for x, b in zip(kept, found, strict=True))
+        total += len(found)
+    assert wrong <= 0.02 * total, (wrong, total)
+
+
 def test_blocks_decode_and_join():
     found = htmlblocks.blocks('<p>a &amp; b&nbsp;&#233;<br>c</p><p title=">x">d<b> e</b><div>f<a href="y">gh</a></div>tail <3 &lt;')
     assert [b.text for b in found] == ["a & b é c", "d e", "fgh", "tail <3 <"]

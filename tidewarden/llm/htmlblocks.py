@@ -165,6 +165,11 @@ FRAMES = (
     (("footer", ""), ("p", "")),
     (("div", "footer copyright"), ("p", "")),
 )
+# Other elements that text of an article may stand in.
+LEAVES = (
+    ("ul", "li"), ("ol", "li"), ("blockquote", "p"), ("blockquote",), ("h2",), ("h3",), ("pre",), ("table", "tr", "td"),
+    ("figure", "figcaption"), ("dl", "dd"), ("section", "p"), ("div",), ("div", "p"),
+)
 ARTICLES = ("article", "main", "div content", "div post", "div entry content", "div story body", "section text", "div", "")
 
 
@@ -197,6 +202,10 @@ def _varied(found: list[Block], labels: np.ndarray, rng: np.random.Generator) ->
     for block, label in zip(found, labels, strict=True):
         if label:
             leaf = tuple(x for x in block.path if x[0] not in ("html", "body", "article", "main"))
+            if not main and rng.random() < 0.2 and around != body:
+                leaf = (("header", ()), *leaf)
+            elif main and rng.random() < 0.25:
+                leaf = tuple((tag, ()) for tag in LEAVES[rng.integers(len(LEAVES))])
             main.append((Block(around + leaf, block.text, block.linked), 1.0))
         else:
             others.append((block, 0.0))
