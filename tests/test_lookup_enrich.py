@@ -84,12 +84,12 @@ def test_measured_size_grows_with_the_text(spark):
     assert lookup.fits_broadcast(small) and not lookup.fits_broadcast(large, limit=100)
 
 
-def test_semi_lookup(spark):
-    keys = spark.createDataFrame([("hot",), ("gone",)], "k string")
+def test_flag_of_listed_keys(spark):
+    keys = spark.createDataFrame([("hot", True), ("gone", True)], "k string, listed boolean")
     for limit in (0, lookup.BROADCAST_BYTES):
-        kept = lookup.semi_lookup(facts(spark), keys, "k", limit)
-        assert kept.columns == ["n", "k"]
-        assert kept.count() == facts(spark).filter("k in ('hot', 'gone')").count()
+        flagged = lookup.left_lookup(facts(spark), keys, "k", "k", limit)
+        assert flagged.columns == ["n", "k", "listed"] and flagged.count() == facts(spark).count()
+        assert flagged.filter("listed").count() == facts(spark).filter("k in ('hot', 'gone')").count()
 
 
 CSV = """score,vendor_name,remark,critical, eu_headquartered,vendor_type

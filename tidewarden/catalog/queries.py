@@ -558,7 +558,7 @@ def severity_routing(spark, sf_dir):
 
 @query
 def batch_summary(spark, sf_dir):
-    return summary.decoded_summary(classify.classify(parsed(spark, sf_dir)))
+    return summary.batch_summary(classify.classify(parsed(spark, sf_dir)))
 
 
 @query

@@ -93,9 +93,3 @@ def left_lookup(
     return second.withColumn("found", found).select(
         *facts.columns, *[F.col("found").getField(c).alias(c) for c in attributes]
     )
-
-
-def semi_lookup(facts: DataFrame, keys: DataFrame, key: str, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """LEFT SEMI JOIN facts to a frame of distinct keys, broadcast only where it fits."""
-    flagged = left_lookup(facts, keys.withColumn("is_listed", F.lit(True)), key, key, limit)
-    return flagged.filter("is_listed").drop("is_listed")

@@ -7,21 +7,11 @@ from tidewarden.config import TIERS
 from tidewarden.functions.numbers import mean_2dp
 
 
-def batch_summary(classified: DataFrame, rejected: DataFrame) -> DataFrame:
-    """One row: events processed, per tier, and records rejected."""
-    sides = classified.select("severity").unionByName(
-        rejected.select(F.lit("rejected").alias("severity"))
-    )
-    tier = F.col("severity")
-    return sides.agg(
-        F.count_if(tier.isNull() | (tier != "rejected")).alias("processed"),
-        *[F.count_if(tier == name).alias(name) for name in TIERS],
-        F.count_if(tier == "rejected").alias("rejected"),
-    )
-
+def batch_summary(judged: DataFrame) -> DataFrame:
+    """One row: events processed, per tier, and records rejected.
 
-def decoded_summary(judged: DataFrame) -> DataFrame:
-    """The same counts from one frame of classified rows with `error_reason`, so that they are parsed once."""
+    Good and rejected records come in one frame of classified rows with `error_reason`, so that they are parsed once.
+    """
     good, tier = F.col("error_reason").isNull(), F.col("severity")
     return judged.agg(
         F.count_if(good).alias("processed"),

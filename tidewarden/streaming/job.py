@@ -19,7 +19,7 @@ from tidewarden.functions import keys
 from tidewarden.operators import audit as auditing
 from tidewarden.operators import classify as rules
 from tidewarden.operators.enrich import enrich
-from tidewarden.operators.summary import decoded_summary
+from tidewarden.operators.summary import batch_summary
 from tidewarden.sources import events, tables
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -122,7 +122,7 @@ def write_batch(parsed: DataFrame, batch_id: int, sinks: Sinks) -> None:
             messages.write.mode("overwrite").parquet(sinks.folder("messages", batch_id))
         events.rejected_rows(batch).write.mode("overwrite").parquet(rejected)
 
-        decoded_summary(batch).select(F.lit(batch_id).cast("bigint").alias("batch_id"), "*").write.mode(
+        batch_summary(batch).select(F.lit(batch_id).cast("bigint").alias("batch_id"), "*").write.mode(
             "overwrite"
         ).parquet(sinks.folder("batch_log", batch_id))
     finally:
