@@ -1,5 +1,6 @@
 """Toxicity, benchmark overlaps and main text: held-out accuracy, brute force, planted cases."""
 
+import itertools
 import random
 import zlib
 
@@ -9,7 +10,8 @@ import pytest
 
 from tests.llm import frames
 from tidewarden.llm import htmlblocks, toxicity
-from tidewarden.llm.decontaminate import Rule, contamination, without_contaminated
+from tidewarden.llm.decontaminate import Index, Rule, contamination, without_contaminated
+from tidewarden.llm.tokens import words
 
 SMALL = toxicity.Shape(buckets=1 << 10, width=6, filters=3, epochs=3)
 
@@ -135,6 +137,38 @@ def test_a_common_passage_repeated_in_one_text(spark):
     assert out == {1: True, 2: False}
 
 
+@pytest.mark.parametrize("n", [5, 6, 9, 10, 13, 14, 15, 18, 20, 22])
+def test_replaced_words_at_every_place(n):
+    """Every choice of places for as many replaced words as the rule allows, in items found whole in a text."""
+    item = [f"w{k}" for k in range(n)]
+    index = Index([7], pa.array([" ".join(item)]), Rule())
+    texts = []
+    for replaced in range(1, n // 5 + 1):
+        for places in itertools.combinations(range(n), replaced):
+            part = ["other" if k in places else word for k, word in enumerate(item)]
+            texts.append(" ".join(["before", "it", *part, "behind"]))
+    values, bounds, *_ = words(pa.array(texts, pa.large_string()))
+    found = index.found(values, bounds)
+    assert sorted(found) == list(range(len(texts)))
+    assert all(equal >= 0.8 * size and size >= min(13, n) for [(_, _, size, equal)] in found.values())
+
+
+@pytest.mark.parametrize("n", [5, 8, 12, 13, 15, 16, 30])
+def test_found_equals_all_segments(n):
+    """Items with words left as they are by chance, against the rule tried on every segment of the alignment."""
+    rng = random.Random(n)
+    item = [f"w{k}" for k in range(n)]
+    index = Index([7], pa.array([" ".join(item)]), Rule())
+    kept = [[rng.random() < share for _ in item] for share in (0.6, 0.7, 0.75, 0.8, 0.85) for _ in range(200)]
+    texts = [" ".join(word if same else "other" for word, same in zip(item, row, strict=True)) for row in kept]
+    least = min(13, n)
+    counts = lambda row: any(
+        5 * sum(row[i:j]) >= 4 * (j - i) for i in range(n) for j in range(i + least, n + 1)
+    )
+    values, bounds, *_ = words(pa.array(texts, pa.large_string()))
+    assert set(index.found(values, bounds)) == {i for i, row in enumerate(kept) if counts(row)}
+
+
 def test_stricter_rule(spark):
     rows, items, truth = planted()
     out = contamination(frames.documents(spark, rows), spark.createDataFrame(items, ITEMS), Rule(identity=1.0, least_words=30)).collect()
