@@ -85,6 +85,40 @@ def test_best_threshold():
     assert 0.5 < toxicity.best_threshold(np.array([0.5, 0.5, 0.8]), np.array([0.0, 0, 1])) <= 0.8
 
 
+def test_thresholds_count_all_rows_at_their_share(spark):
+    """The fit has seen four of five toxic rows and no other; each row left over stands for five."""
+    rng = np.random.Generator(np.random.PCG64(3))
+    toxic = (rng.random(4000) < 0.05).astype(int)
+    score = 1 / (1 + np.exp(3 - 3 * toxic - rng.normal(0, 1, 4000)))
+    rows = [(i, "en" if i % 3 else "de", float(x)) for i, x in enumerate(score)]
+    labels = spark.createDataFrame([(i, 1, int(t)) for i, t in enumerate(toxic)], "doc_id long, quality int, toxic int")
+    seen = (toxicity.F.col("toxic") == 1) & (toxicity.F.col("doc_id") % 5 != 0)
+    model = toxicity.Model(toxicity.Network(SMALL), 0.05, {}, 0.5)
+    toxicity.calibrate(model, spark.createDataFrame(rows, "doc_id long, lang string, score double"), labels, seen, bins=1 << 20)
+    left = np.flatnonzero((toxic == 0) | (np.arange(4000) % 5 == 0))
+
+    def plain(at):
+        scale = toxic[at].sum() / toxic[np.intersect1d(at, left)].sum()
+        order = np.intersect1d(at, left)[np.argsort(-score[np.intersect1d(at, left)])]
+        hits = np.cumsum(toxic[order]) * scale
+        best = int(np.argmax(2 * hits / (hits + np.cumsum(1 - toxic[order]) + hits[-1])))
+        return (score[order[best]] + score[order[best + 1]]) / 2
+
+    every = np.arange(4000)
+    assert model.threshold == pytest.approx(plain(every))
+    assert model.thresholds.keys() <= {"en", "de"} and "en" in model.thresholds
+    for name, at in (("en", every[every % 3 > 0]), ("de", every[every % 3 == 0])):
+        assert name not in model.thresholds or model.thresholds[name] == pytest.approx(plain(at))
+
+
+def test_languages_get_thresholds_from_rows_beyond_the_sample(spark):
+    rows, labels = toxic_corpus()
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    out = toxicity.toxicity(frames.documents(spark, rows), known, most_rows=80).collect()
+    lang = {i: x for i, _, x, _ in rows}
+    assert len({(lang[r.doc_id], r.threshold) for r in out}) == len({r.threshold for r in out}) == 2
+
+
 ITEMS = "item_id long, text string"
 
 

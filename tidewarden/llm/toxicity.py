@@ -2,8 +2,8 @@
 
 A word's vector is the sum of hashed embeddings of the word, of its first six and of its first three bytes, so forms
 not met in training share what their stems have. Filters of several widths run over the whole text, each keeps its
-maximum, and a logistic layer turns the maxima into a probability. Thresholds are calibrated by language, on training
-rows held back from the fit.
+maximum, and a logistic layer turns the maxima into a probability. The fit takes a bounded sample; thresholds are
+calibrated by language on all other training rows, from counts by bins of the score.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewarden.llm.frames import crc_of_id, free_name, whole_text
+from tidewarden.llm.frames import crc_of_id, free_name, stored, whole_text
 from tidewarden.llm.tokens import BYTE_VALUE, STEP, chunks, mixed, words
 
 
@@ -161,17 +161,19 @@ def train(texts: pa.Array, target: np.ndarray, shape: Shape, weight: np.ndarray)
     return network
 
 
+def _cut(low: np.ndarray, high: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> float:
+    """The cut with the best F1 between groups of scores, highest first: least and greatest score, rows of each label."""
+    f1 = 2 * np.cumsum(toxic) / (np.cumsum(toxic + clean) + toxic.sum())
+    best = int(np.argmax(f1))
+    after = high[best + 1] if best + 1 < len(high) else 0.0
+    return float((low[best] + after) / 2)
+
+
 def best_threshold(score: np.ndarray, target: np.ndarray) -> float:
     """The cut with the best F1, halfway between the scores around it."""
-    order = np.argsort(-score, kind="stable")
-    score, target = score[order], target[order]
-    hits = np.cumsum(target)
-    f1 = 2 * hits / (np.arange(1, len(score) + 1) + target.sum())
     # Only between different scores can a cut be made.
-    f1[:-1][score[:-1] == score[1:]] = -1
-    best = int(np.argmax(f1))
-    after = score[best + 1] if best + 1 < len(score) else 0.0
-    return float((score[best] + after) / 2)
+    value, place = np.unique(-score, return_inverse=True)
+    return _cut(-value, -value, np.bincount(place, target), np.bincount(place, 1 - target))
 
 
 @dataclass
@@ -184,57 +186,99 @@ class Model:
     threshold: float
 
 
-def _sample(labelled: DataFrame, most_rows: int) -> DataFrame:
-    """A spread sample of (text, lang, toxic): at most about `most_rows` of each label."""
-    counts = {r.toxic: r["count"] for r in labelled.groupBy("toxic").count().collect()}
+def _known(labels: DataFrame) -> DataFrame:
+    return labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+
+
+def _sampled(counts: dict[int, int], most_rows: int) -> Column:
+    """Whether a row of (doc_id, toxic) is in a spread sample: at most about `most_rows` of each label."""
     spread = F.pmod(F.xxhash64(F.lit("toxic"), F.col("doc_id")), F.lit(1 << 30)) / float(1 << 30)
     keep = F.lit(False)
     for label, n in counts.items():
         keep = keep | ((F.col("toxic") == label) & (spread < min(1.0, most_rows / n)))
-    return labelled.filter(keep)
+    return keep
 
 
-def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, most_rows: int = 4000, shape: Shape | None = None) -> Model:
-    """The classifier of rows whose crc32(doc_id) modulo `modulus` is not 0.
+def fit(
+    docs: DataFrame, labels: DataFrame, modulus: int = 5, most_rows: int = 4000, shape: Shape | None = None
+) -> tuple[Model, Column]:
+    """The classifier of rows whose crc32(doc_id) modulo `modulus` is not 0, and which (doc_id, toxic) it has seen.
 
-    The fit and the thresholds take a sample of about `most_rows` rows of each label, drawn by a digest of the id.
-    The share of toxic rows is that of all training rows. A tenth of the sample calibrates: probabilities are scaled
-    back to that share, and a language with at least ten toxic rows in it gets its own threshold.
+    The fit takes a sample of about `most_rows` rows of each label, drawn by a digest of the id, but for a tenth of it.
+    The share of toxic rows is that of all training rows. The thresholds are left to `calibrate`; if the fit would
+    leave it no row of one label, the fit takes the tenth as well and the thresholds all rows.
     """
     shape = shape or Shape()
-    known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    training = docs.filter(crc_of_id(F.col("doc_id"), modulus) != 0).select(
-        "doc_id", whole_text(F.col("text")).alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang")
-    )
-    labelled = training.select("doc_id").join(known, "doc_id")
-    chosen = _sample(labelled, most_rows)
-    counts = {r.toxic: r["count"] for r in labelled.groupBy("toxic").count().collect()}
+    known = _known(labels)
+    training = docs.filter(crc_of_id(F.col("doc_id"), modulus) != 0).select("doc_id", whole_text(F.col("text")).alias("text"))
+    counts = {r.toxic: r["count"] for r in training.select("doc_id").join(known, "doc_id").groupBy("toxic").count().collect()}
     total = sum(counts.values())
     share = counts.get(1, 0) / total if total else 0.0
     if not counts.get(1) or not counts.get(0):
-        return Model(None, share, {}, 0.5)
+        return Model(None, share, {}, 0.5), F.lit(False)
+    sampled, held_back = _sampled(counts, most_rows), F.pmod(F.xxhash64(F.lit("held"), F.col("doc_id")), F.lit(10)) == 0
+    chosen = known.filter(sampled).withColumn("held", held_back)
     rows = training.join(F.broadcast(chosen), "doc_id").toArrow().sort_by("doc_id")
     target = rows.column("toxic").to_numpy().astype(np.float64)
     text = pa.concat_arrays(rows.column("text").cast(pa.large_string()).chunks)
-    lang = np.array(rows.column("lang").to_pylist())
-    # As many toxic rows' worth of weight as of others, whatever the sample holds.
-    rng = np.random.Generator(np.random.PCG64(shape.seed))
-    held = rng.random(len(target)) < 0.1
-    if len(np.unique(target[held])) < 2 or len(np.unique(target[~held])) < 2:
-        held = np.zeros(len(target), dtype=bool)
+    held = np.array(rows.column("held").to_pylist(), dtype=bool)
+    used = [int((target[~held] == label).sum()) for label in (0, 1)]
+    seen = sampled & ~held_back
+    if 0 in used or any(counts[label] == used[label] for label in (0, 1)):
+        held[:] = False
+        seen = F.lit(False)
     fitted = np.flatnonzero(~held)
+    # As many toxic rows' worth of weight as of others, whatever the sample holds.
     toxic = target[fitted].mean()
     weight = np.where(target == 1, 0.5 / toxic, 0.5 / (1 - toxic))
     network = train(text.take(pa.array(fitted)), target[fitted], shape, weight[fitted])
-    model = Model(network, share, {}, 0.5)
-    back = np.flatnonzero(held) if held.any() else fitted
-    score = scores(model, text.take(pa.array(back)))
-    model.threshold = best_threshold(score, target[back])
-    for name in np.unique(lang[back]):
-        of = lang[back] == name
-        if target[back][of].sum() >= 10 and (1 - target[back][of]).sum() >= 10:
-            model.thresholds[str(name)] = best_threshold(score[of], target[back][of])
-    return model
+    return Model(network, share, {}, 0.5), seen
+
+
+def calibrate(model: Model, judged: DataFrame, labels: DataFrame, seen: Column, bins: int = 64) -> None:
+    """Set the thresholds from (doc_id, lang, score) of all training rows, but for those that the fit has `seen`.
+
+    The rows are counted by language, label and bin of the score, `bins` to a unit of its logarithmic odds. The counts
+    of a label stand for all its rows, seen ones too, so that a cut has its F1 at the rows' own share of toxic ones. A
+    language with at least ten counted rows of each label gets its own threshold.
+    """
+    if model.network is None:
+        return
+    bounded = F.greatest(F.least(F.col("score"), F.lit(1 - 1e-15)), F.lit(1e-300))
+    new = ~seen
+    counted = (
+        judged.join(_known(labels), "doc_id")
+        .withColumn("bin", F.floor(F.log(bounded / (1 - bounded)) * bins))
+        .groupBy(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), "toxic", "bin")
+        .agg(
+            F.count("*").alias("n_all"), F.count_if(new).alias("n"),
+            F.min(F.when(new, F.col("score"))).alias("low"), F.max(F.when(new, F.col("score"))).alias("high"),
+        )
+        .toArrow()
+    )
+    of = {name: counted.column(name).to_numpy() for name in ("toxic", "bin", "n_all", "n", "low", "high")}
+    lang = np.array(counted.column("lang").to_pylist(), dtype=object)
+
+    def threshold(rows: np.ndarray, least: int) -> float | None:
+        label = {k: rows & (of["toxic"] == k) for k in (0, 1)}
+        n = {k: of["n"][at].sum() for k, at in label.items()}
+        if min(n.values()) < least:
+            return None
+        value, place = np.unique(-of["bin"][rows & (of["n"] > 0)], return_inverse=True)
+        filled = {name: column[rows & (of["n"] > 0)] for name, column in of.items()}
+        low, high = np.full(len(value), np.inf), np.full(len(value), -np.inf)
+        np.minimum.at(low, place, filled["low"])
+        np.maximum.at(high, place, filled["high"])
+        toxic, clean = (
+            np.bincount(place, filled["n"] * (filled["toxic"] == k)) * (of["n_all"][label[k]].sum() / n[k]) for k in (1, 0)
+        )
+        return _cut(low, high, toxic, clean)
+
+    model.threshold = threshold(np.ones(len(lang), dtype=bool), 1)
+    for name in sorted(set(lang)):
+        own = threshold(lang == name, 10)
+        if own is not None:
+            model.thresholds[name] = own
 
 
 def scores(model: Model, texts: pa.Array) -> np.ndarray:
@@ -272,15 +316,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 5, most_rows: in
     If there are not labels of both kinds, every score is the share of toxic ones, and nothing is rejected unless that
     share reaches 0.5. Empty tables give an empty result. Other columns are not read.
     """
-    model = fit(docs, labels, modulus, most_rows)
+    model, seen = fit(docs, labels, modulus, most_rows)
     slim = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        "doc_id",
         F.coalesce(crc_of_id(F.col("doc_id"), modulus) == 0, F.lit(False)).alias("held_out"),
-        threshold_of(model, F.col("lang")).alias("threshold"),
+        "lang",
         whole_text(F.col("text")).alias("text"),
     )
-    return scored(slim, model, F.col("text"), "score").select(
-        "doc_id",
+    judged = stored(scored(slim, model, F.col("text"), "score").drop("text"), "toxicity-scores")
+    calibrate(model, judged.filter("doc_id is not null and not held_out"), labels, seen)
+    return judged.withColumn("threshold", threshold_of(model, F.col("lang"))).select(
+        F.col("doc_id").cast("long").alias("doc_id"),
         "held_out",
         "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
@@ -299,7 +345,9 @@ def threshold_of(model: Model, lang: Column) -> Column:
 
 def without_toxic(docs: DataFrame, labels: DataFrame, modulus: int = 5, most_rows: int = 4000) -> DataFrame:
     """The rows and columns of `docs` that are not rejected."""
-    model = fit(docs, labels, modulus, most_rows)
+    model, seen = fit(docs, labels, modulus, most_rows)
+    training = docs.filter(crc_of_id(F.col("doc_id"), modulus) != 0).select("doc_id", "lang", "text")
+    calibrate(model, scored(training, model, F.col("text"), "score").drop("text"), labels, seen)
     name = free_name(docs, "toxicity")
     found = scored(docs, model, F.col("text"), name)
     return found.filter(F.col(name) < threshold_of(model, F.col("lang"))).select(*docs.columns)
