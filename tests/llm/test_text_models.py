@@ -269,6 +269,18 @@ def test_blocks_decode_and_join():
     assert found[2].linked == 2
 
 
+@pytest.mark.parametrize(
+    "hidden",
+    [
+        "<script>for(i=0;i<n;i++){f()}</script>", "<script>if (a<b) x = '<!-- ';</SCRIPT >", "<script>a = '<b title=\"';</script>",
+        "<script>s = '<div class=\"' + c</script\n>", "<style>a:after{content:'<a'}</style>", "<script>x</scripts>y</script>", "<script/>",
+        "<noscript><img src='a' alt='it's'></noscript>", "<svg><text>t</text></svg>", "<script>i<n</script><script>j<m</script>",
+    ],
+)
+def test_hidden_content_is_not_cut_into_tags(hidden):
+    assert [b.text for b in htmlblocks.blocks(f"<p>one</p>{hidden}<p>two</p><p>three</p>")] == ["one", "two", "three"]
+
+
 @pytest.mark.parametrize("text", ["<", "<p", "<p title=\"a", "</", "<!--", "<!-- x", "<script>a", "&#xffffff; &bogus;", "<p/>x", "\x00<p>\x00"])
 def test_broken_markup_is_read(text):
     assert isinstance(htmlblocks.blocks(text), list)

@@ -50,6 +50,8 @@ TOKEN = re.compile(
 TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 PART = re.compile(r"[a-z0-9]+")
+# Where the content of a hidden element ends: it is not cut into tokens.
+HIDDEN_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I) for tag in HIDDEN}
 
 
 @dataclass
@@ -66,8 +68,7 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     texts: list[str] = []
-    linked = 0
-    hidden = ""
+    linked = at = 0
 
     def flush() -> None:
         nonlocal linked
@@ -77,12 +78,8 @@ def blocks(page: str) -> list[Block]:
         texts.clear()
         linked = 0
 
-    for found in TOKEN.finditer(page):
-        token = found.group()
-        if hidden:
-            if token[:2] == "</" and token[2 : 2 + len(hidden)].lower() == hidden:
-                hidden = ""
-            continue
+    while found := TOKEN.match(page, at):
+        token, at = found.group(), found.end()
         if token[0] != "<" or token == "<":
             texts.append(token)
             if any(tag == "a" for tag, _ in stack):
@@ -100,7 +97,9 @@ def blocks(page: str) -> list[Block]:
                     pass
             continue
         if tag in HIDDEN:
-            hidden = "" if token.endswith("/>") else tag
+            if not token.endswith("/>"):
+                end = HIDDEN_END[tag].search(page, at)
+                at = end.start() if end else len(page)
             continue
         if tag in BREAKING:
             flush()
