@@ -27,8 +27,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without boilerplate lines."""
-    return without_spread_lines(docs)
+    """All documents, without the lines that ten sites carry, in copies of a page as well."""
+    return without_spread_lines(docs, distinct_texts=False)
 
 
 def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

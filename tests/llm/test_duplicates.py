@@ -169,6 +169,31 @@ def test_lines_equal_a_plain_count(spark, sites, keep_first):
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in out)
 
 
+@pytest.mark.parametrize("sites", [3, 10, 14])
+def test_lines_by_sites_alone(spark, sites):
+    """Lines of a page copied as a whole go as well; the first copy keeps them."""
+    rows = page_rows()
+    out = {r.doc_id: r.text for r in without_spread_lines(frames.documents(spark, rows), sites=sites, distinct_texts=False).collect()}
+    where = defaultdict(set)
+    first = {}
+    bare = lambda line: line.strip(" \t\r\x0b\x0c")
+    for i, text, _, source in rows:
+        for line in filter(None, map(bare, (text or "").split("\n"))):
+            where[line].add(source)
+            first.setdefault(line, i)
+    stays = lambda i, line: len(where[bare(line)]) < sites or first[bare(line)] == i
+    assert out == {i: t if t is None else "\n".join(x for x in t.split("\n") if stays(i, x)) for i, t, *_ in rows}
+    assert out[400] == "first of the copy\nsecond of the copy" and {out[400 + k] for k in range(1, 25)} == {""}
+
+
+def test_pipeline_stage_takes_lines_by_sites_alone(spark):
+    import corpus_pipeline
+
+    rows = [(k, "first of the copy\nsecond of the copy", "en", f"site{k}") for k in range(12)]
+    out = corpus_pipeline.line_dedup(spark, frames.documents(spark, rows), "").collect()
+    assert sorted(r.text for r in out) == [""] * 11 + [rows[0][1]]
+
+
 def test_lines_without_python(spark):
     plan = without_spread_lines(frames.documents(spark, page_rows(n=20)))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Nested" not in plan

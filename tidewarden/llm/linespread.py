@@ -1,7 +1,8 @@
 """Removing lines that many sites carry, by HyperLogLog sketches of distinct sites per line.
 
 Every line is known by a 64-bit hash of its trimmed text. A line's spread is the number of distinct sites among
-the texts that hold it, and, so that a page copied as a whole is no boilerplate, the number of distinct texts too.
+the texts that hold it, and, so that a page copied as a whole is no boilerplate, the number of distinct texts too,
+unless sites alone are to decide.
 Sketches of sites and of texts are built per line and task and merged by aggregation, so a frequent line sends one
 row per task. An estimate clearly above or below the threshold decides; for the lines near it sites and texts are
 counted exactly.
@@ -39,8 +40,10 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     return keyed.select("site", "words", "place", "row_a", "row_b", F.explode("lines").alias("line")).filter("line is not null")
 
 
-def spread_lines(occurrences: DataFrame, sites: int, lg_k: int = 10, band: float = 0.15, salts: int = 16) -> DataFrame:
-    """(line): the lines on at least `sites` distinct sites and in as many distinct texts.
+def spread_lines(
+    occurrences: DataFrame, sites: int, lg_k: int = 10, band: float = 0.15, salts: int = 16, distinct_texts: bool = True
+) -> DataFrame:
+    """(line): the lines on at least `sites` distinct sites and, with `distinct_texts`, in as many distinct texts.
 
     The relative error of a sketch is about 1.04 / sqrt(2 ** lg_k), 3 % by default; `band` is several times that.
     """
@@ -49,7 +52,8 @@ def spread_lines(occurrences: DataFrame, sites: int, lg_k: int = 10, band: float
         F.hll_sketch_estimate(F.hll_sketch_agg("words", lg_k)).alias("n_words"),
     )
     low, high = sites * (1 - band), sites * (1 + band)
-    estimates = sketched.select("line", F.least("n_sites", "n_words").alias("estimate"))
+    spread = F.least("n_sites", "n_words") if distinct_texts else F.col("n_sites")
+    estimates = sketched.select("line", spread.alias("estimate"))
     estimated = stored(estimates.filter(F.col("estimate") >= low), "line-spread")
     sure = estimated.filter(F.col("estimate") > high).select("line")
     # A line near the threshold may still be very frequent: its rows are dealt out by document as well.
@@ -58,22 +62,27 @@ def spread_lines(occurrences: DataFrame, sites: int, lg_k: int = 10, band: float
     close = dealt.join(near, ["line", "salt"], "left_semi")
     # Distinct pairs first: a frequent line sends no more than one row per task, site and text.
     by_site = close.select("line", "site").distinct().groupBy("line").agg(F.count("*").alias("n")).filter(F.col("n") >= sites)
+    if not distinct_texts:
+        return sure.unionByName(by_site.select("line"))
     by_words = close.select("line", "words").distinct().groupBy("line").agg(F.count("*").alias("n")).filter(F.col("n") >= sites)
     exact = by_site.select("line").join(by_words.select("line"), "line", "left_semi")
     return sure.unionByName(exact)
 
 
-def without_spread_lines(docs: DataFrame, sites: int = 10, lg_k: int = 10, keep_first: bool = True) -> DataFrame:
+def without_spread_lines(
+    docs: DataFrame, sites: int = 10, lg_k: int = 10, keep_first: bool = True, distinct_texts: bool = True
+) -> DataFrame:
     """The documents without their boilerplate lines: the columns and rows of `docs`, `text` changed.
 
     A line found on at least `sites` sites and in as many different texts is removed, every time it occurs;
+    without `distinct_texts` the sites alone decide, so that pages copied to many sites lose their lines as well;
     with `keep_first` the document of the smallest id that has it keeps it, so no content leaves the corpus
     altogether. Blank lines stay. A null text stays null and has no lines; an empty one stays empty; a document
     that consists of such lines alone keeps its row with an empty text; a null source is a site, a null id comes
     last; repeated rows are treated alike. An empty table gives an empty result. An `n_chars` column is set anew.
     """
     occurrences = _occurrences(docs.select("doc_id", "source", "text"))
-    spread = stored(spread_lines(occurrences, sites, lg_k), "spread-lines")
+    spread = stored(spread_lines(occurrences, sites, lg_k, distinct_texts=distinct_texts), "spread-lines")
     found = stored(occurrences.join(spread, "line", "left_semi").select("line", "place", "row_a", "row_b"), "spread-found")
     if keep_first:
         first = found.groupBy("line").agg(F.min(F.struct("place", "row_a", "row_b")).alias("first"))
