@@ -42,6 +42,14 @@ def test_ties_repeats_and_a_very_common_vector(spark):
     assert found(spark, rows, shard_rows=32, query_rows=2) == brute(rows)
 
 
+def test_an_id_with_many_different_high_vectors(spark):
+    rng = random.Random(4)
+    rows = [(i, [rng.gauss(0, 0.2) for _ in range(8)]) for i in range(120)]
+    rows += [(7, [rng.choice([-1, 1]) * rng.uniform(2, 3) for _ in range(8)]) for _ in range(60)]
+    assert found(spark, rows) == brute(rows)
+    assert found(spark, rows, shard_rows=40) == brute(rows)
+
+
 def test_negative_scores_and_few_vectors(spark):
     rows = [(0, [1.0, 1.0]), (1, [-1.0, -1.0]), (2, [-0.5, 0.0])]
     assert found(spark, rows) == [(0, 1, 2, -32768), (0, 2, 1, -131072)]

@@ -34,6 +34,7 @@ class Shard:
 
     def __init__(self, ids: np.ndarray, matrix: np.ndarray):
         self.ids, self.matrix = ids, matrix
+        self.repeats = len(np.unique(ids)) < len(ids)
         self.postings: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
         for d in range(matrix.shape[1]):
             for sign in (1, -1):
@@ -42,8 +43,19 @@ class Shard:
                 at = at[np.argsort(-impact[at], kind="stable")]
                 self.postings[d, sign] = (at, impact[at])
 
+    def _distinct(self, rows: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the rows of an id one with its best score, and the scores."""
+        if not self.repeats:
+            return rows, scores
+        order = np.lexsort((-scores, self.ids[rows]))
+        _, first = np.unique(self.ids[rows][order], return_index=True)
+        return rows[order[first]], scores[order[first]]
+
     def best(self, query_id: int, query: np.ndarray, k: int, seeds: int = 16) -> list[tuple[int, int]]:
-        """The (id, score) of the k best vectors but the query's own: higher scores first, then smaller ids."""
+        """The (id, score) of the k best ids but the query's own: higher scores first, then smaller ids.
+
+        An id has the best score of its vectors.
+        """
         terms = []
         for d in np.flatnonzero(query):
             at, impact = self.postings[d, 1 if query[d] > 0 else -1]
@@ -56,8 +68,9 @@ class Shard:
         if terms:
             seen = np.unique(np.concatenate([t[3][:seeds] for t in terms[-8:]]))
             seen = seen[others[seen]]
-            if len(seen) >= k:
-                threshold = int(np.partition(self.matrix[seen] @ query, -k)[-k])
+            _, scores = self._distinct(seen, self.matrix[seen] @ query)
+            if len(scores) >= k:
+                threshold = int(np.partition(scores, -k)[-k])
         if threshold is None or threshold <= 0:
             # A vector without any posting for the query's terms may still be among the best.
             alive = np.flatnonzero(others)
@@ -75,7 +88,7 @@ class Shard:
                 sums = sums + np.maximum(self.matrix[alive, d] * query[d], 0)
                 going = sums + rest >= threshold
                 alive, sums = alive[going], sums[going]
-        scores = self.matrix[alive] @ query
+        alive, scores = self._distinct(alive, self.matrix[alive] @ query)
         if len(alive) > k:
             kept = scores >= np.partition(scores, -k)[-k]
             alive, scores = alive[kept], scores[kept]
