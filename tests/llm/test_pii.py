@@ -92,6 +92,15 @@ def test_trees_choose_what_looks_like_the_examples(spark):
     assert chosen == {f"001 (53{i}) 555-800{i}": True for i in range(5)} | {"1234 567": False}
 
 
+def test_thresholds_count_candidates_beyond_the_sample(spark):
+    """Too few addresses in the sample for a threshold, but many in the corpus."""
+    phone = lambda i: f"please call +1 (5{i % 100:02d}) 555-{1000 + i} now. seen {i * 37 % 9000 + 1000} {i} items"
+    mail = lambda i: f"please mail name{i}@host{i % 9}.org now. seen {i * 37 % 9000 + 1000} {i} items"
+    texts = [mail(i) if i % 7 == 0 else phone(i) for i in range(2000)]
+    chooser = pii.fit(pii.matches(numbered(spark, texts)), sample_docs=200)
+    assert set(chooser.thresholds) == {0, 3}
+
+
 def test_added_spans_stay_off_base_spans(spark, texts):
     found = pii.find(texts.withColumn("row", F.monotonically_increasing_id())).collect()
     for r in found:

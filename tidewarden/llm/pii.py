@@ -205,14 +205,19 @@ class Chooser:
 def fit(found: DataFrame, sample_docs: int = 4000, most_rows: int = 20_000, precision: float = 0.95, rounds: int = 12) -> Chooser:
     """Boosted trees from the candidates of about `sample_docs` texts, drawn by a digest, `most_rows` candidates at most.
 
-    Every fourth candidate is held back; a kind's threshold is the lowest cut with at least `precision` there. A kind
-    without such a cut gets none and adds nothing.
+    Every fourth of them is held back. A kind's threshold is the lowest cut with at least `precision` among all wide
+    candidates of the corpus that the trees were not fitted to. A kind without such a cut, or with fewer than ten of
+    these candidates at each, gets none and adds nothing.
     """
     n = found.count()
     spread = F.pmod(F.xxhash64(F.lit("pii"), F.col("draw")), F.lit(1 << 30)) / float(1 << 30)
-    rows = with_overlap(spans(found.filter(spread < min(1.0, sample_docs / max(n, 1)))), ["row", "kind"], "is_base")
-    drawn = rows.filter("wide").withColumn("order", F.xxhash64("draw", "kind", "at")).orderBy("order", "row").limit(most_rows)
-    sample = stored(drawn.withColumn("label", F.col("is_base").cast("double")), "pii-sample")
+    in_sample = spread < min(1.0, sample_docs / max(n, 1))
+
+    def wide(texts: DataFrame) -> DataFrame:
+        rows = with_overlap(spans(texts), ["row", "kind"], "is_base").filter("wide")
+        return rows.withColumn("order", F.xxhash64("draw", "kind", "at")).withColumn("label", F.col("is_base").cast("double"))
+
+    sample = stored(wide(found.filter(in_sample)).orderBy("order", "row").limit(most_rows), "pii-sample")
     held = F.pmod("order", F.lit(4)) == 0
     labels = {r.label: r["count"] for r in sample.filter(~held).groupBy("label").count().collect()}
     if len(labels) < 2:
@@ -222,7 +227,9 @@ def fit(found: DataFrame, sample_docs: int = 4000, most_rows: int = 20_000, prec
         featuresCol="vector", labelCol="label", maxIter=rounds, maxDepth=3, maxBins=32, minInstancesPerNode=20, seed=7
     )
     chooser = Chooser(learner.fit(_described(sample.filter(~held)).select("label", "vector")))
-    judged = chooser.probabilities(sample.filter(held)).groupBy("kind").agg(
+    last = sample.agg(F.max("order")).first()[0]
+    new = wide(found.filter(F.size("found") > 0)).filter(~in_sample | held | (F.col("order") > last))
+    judged = chooser.probabilities(new).groupBy("kind").agg(
         *[F.count_if(F.col("p") >= c).alias(f"n{i}") for i, c in enumerate(CUTS)],
         *[F.count_if((F.col("p") >= c) & (F.col("label") == 1)).alias(f"hit{i}") for i, c in enumerate(CUTS)],
     )
