@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewarden.llm.alignment import alignment
 from tidewarden.llm.decontaminate import contamination
 from tidewarden.llm.htmlblocks import main_text
 from tidewarden.llm.jaccard import near_duplicates
@@ -61,6 +62,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_topk": op1_topk,
     "op2_pii": op2_pii,
@@ -72,4 +77,5 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
     "op10_language": op10_language,
+    "op12_alignment": op12_alignment,
 }
