@@ -149,93 +149,57 @@ def _lists(values: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.Arra
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, kind))
 
 
-ALIGNED = "a_ids array<int>, b_ids array<int>, a_upto array<int>, b_upto array<int>, bytes_upto array<int>"
-
-
-def aligned(docs: DataFrame, first: str = BYTE_LEVEL, second: str = PIECES) -> DataFrame:
-    """(doc_id, a_ids, b_ids, a_upto, b_upto, bytes_upto) for each row: the tokens and where their groups end.
+class Groups:
+    """The tokens of some texts and the groups into which their common ends cut them, as flat arrays.
 
-    Group g has the tokens `a_upto[g - 1]:a_upto[g]` of `a_ids` and `b_upto[g - 1]:b_upto[g]` of `b_ids` and ends at the
-    byte `bytes_upto[g]` of a blank and the text. All arrays are empty where the text is null or empty, or where either
-    tokenizer's bytes differ from a blank and the text. Repeated rows are treated alike, a null id is kept, an empty
-    table gives an empty result. Other columns are not read.
+    Text i has the tokens `a_bounds[i]:a_bounds[i + 1]` of A, the same of B, and the groups `bounds[i]:bounds[i + 1]`; group
+    g ends before the tokens `a_end[g]` and `b_end[g]`. A text without tokens has no groups.
     """
 
-    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, texts: Sequence[str], first: str, second: str):
         a, b, a_size, b_size = _tokenizers(first, second)
-        for batch in batches:
-            for low, high in chunks(batch.column(1)):
-                texts = [t or "" for t in batch.column(1).slice(low, high - low).to_pylist()]
-                a_ids, b_ids = a.encode(texts), b.encode(texts)
-                for i, text in enumerate(texts):
-                    whole = (" " + text).encode()
-                    same = b"".join(map(a.spelt.__getitem__, a_ids[i])) == whole == b"".join(map(b.spelt.__getitem__, b_ids[i]))
-                    if not (text and same):
-                        a_ids[i] = b_ids[i] = []
-                a_flat, a_bounds = _flat(a_ids)
-                b_flat, b_bounds = _flat(b_ids)
-                # Both cut the same bytes of each text, so the running ends of all texts can be compared as they are.
-                a_ends, b_ends = np.cumsum(a_size[a_flat]), np.cumsum(b_size[b_flat])
-                in_a, in_b = common_ends(a_ends, b_ends, a_bounds, b_bounds)
-                text = np.searchsorted(a_bounds, in_a, side="right") - 1
-                groups = np.zeros(len(texts) + 1, dtype=np.int64)
-                np.cumsum(np.bincount(text, minlength=len(texts)), out=groups[1:])
-                began = np.where(a_bounds[text] > 0, a_ends[a_bounds[text] - 1], 0) if len(text) else text
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(low, high - low),
-                        _lists(a_flat, a_bounds, pa.int32()),
-                        _lists(b_flat, b_bounds, pa.int32()),
-                        _lists(in_a + 1 - a_bounds[text], groups, pa.int32()),
-                        _lists(in_b + 1 - b_bounds[text], groups, pa.int32()),
-                        _lists(a_ends[in_a] - began, groups, pa.int32()),
-                    ],
-                    names=["doc_id", "a_ids", "b_ids", "a_upto", "b_upto", "bytes_upto"],
-                )
-
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(align, f"doc_id long, {ALIGNED}")
-
-
-class Groups:
-    """The tokens and groups of some documents as flat arrays."""
-
-    def __init__(self, a_ids: pa.Array, b_ids: pa.Array, a_upto: pa.Array, b_upto: pa.Array):
-        self.a, self.a_bounds = self._flat(a_ids)
-        self.b, self.b_bounds = self._flat(b_ids)
-        a_upto, self.bounds = self._flat(a_upto)
-        b_upto, _ = self._flat(b_upto)
-        self.doc = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
-        self.a_end, self.b_end = a_upto + self.a_bounds[self.doc], b_upto + self.b_bounds[self.doc]
-        # Groups follow each other without a gap, over the documents as well.
-        self.n_a = np.diff(self.a_end, prepend=0)
-        self.n_b = np.diff(self.b_end, prepend=0)
+        a_ids, b_ids = a.encode(texts), b.encode(texts)
+        for i, text in enumerate(texts):
+            whole = (" " + text).encode()
+            same = b"".join(map(a.spelt.__getitem__, a_ids[i])) == whole == b"".join(map(b.spelt.__getitem__, b_ids[i]))
+            if not (text and same):
+                a_ids[i] = b_ids[i] = []
+        self.a, self.a_bounds = _flat(a_ids)
+        self.b, self.b_bounds = _flat(b_ids)
+        # Both cut the same bytes of each text, so the running ends of all texts can be compared as they are.
+        self.ends = np.cumsum(a_size[self.a])
+        in_a, in_b = common_ends(self.ends, np.cumsum(b_size[self.b]), self.a_bounds, self.b_bounds)
+        self.a_end, self.b_end = in_a + 1, in_b + 1
+        self.n_a, self.n_b = np.diff(self.a_end, prepend=0), np.diff(self.b_end, prepend=0)
         self.links = self.n_a * self.n_b
+        self.text = np.searchsorted(self.a_bounds, in_a, side="right") - 1
+        self.bounds = np.searchsorted(self.text, np.arange(len(texts) + 1))
 
-    @staticmethod
-    def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        bounds = column.offsets.to_numpy().astype(np.int64)
-        return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), bounds - bounds[0]
+    def bytes_upto(self) -> np.ndarray:
+        """Where each group ends in its text."""
+        began = np.concatenate([[0], self.ends])[self.a_bounds[self.text]]
+        return self.ends[self.a_end - 1] - began
 
-    def per_doc(self, values: np.ndarray) -> np.ndarray:
-        """Sum over the groups of each document."""
+    def per_text(self, values: np.ndarray) -> np.ndarray:
+        """Sum over the groups of each text."""
         upto = np.concatenate([[0], np.cumsum(values)])
         return upto[self.bounds[1:]] - upto[self.bounds[:-1]]
 
-    def pairs(self, b_size: int, most: int = 1 << 21) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document, pair, links): each document's linked pairs of ids, ascending; a pair is a_id * b_size + b_id.
+    def pairs(self, b_size: int, most: int = 1 << 18) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, pair, links): each text's linked pairs of ids, ascending; a pair is a_id * b_size + b_id.
 
         Groups are gone through in blocks of about `most` links; of a larger group only the distinct ids are paired.
         """
-        span = (int(self.a.max()) + 1 if len(self.a) else 1) * b_size
+        a_ids, b_ids = self.a.astype(np.int64), self.b.astype(np.int64)
+        span = (int(a_ids.max()) + 1 if len(a_ids) else 1) * b_size
         keys, weights = [], []
         big = self.links > most
         for g in np.flatnonzero(big):
-            a, n_a = np.unique(self.a[self.a_end[g] - self.n_a[g] : self.a_end[g]], return_counts=True)
-            b, n_b = np.unique(self.b[self.b_end[g] - self.n_b[g] : self.b_end[g]], return_counts=True)
+            a, n_a = np.unique(a_ids[self.a_end[g] - self.n_a[g] : self.a_end[g]], return_counts=True)
+            b, n_b = np.unique(b_ids[self.b_end[g] - self.n_b[g] : self.b_end[g]], return_counts=True)
             rows = max(1, most // len(b))
             for i in range(0, len(a), rows):
-                keys.append((self.doc[g] * span + a[i : i + rows, None] * b_size + b).ravel())
+                keys.append((self.text[g] * span + a[i : i + rows, None] * b_size + b).ravel())
                 weights.append((n_a[i : i + rows, None] * n_b).ravel())
         small = np.flatnonzero(~big)
         upto = np.cumsum(self.links[small])
@@ -245,9 +209,9 @@ class Groups:
             links = self.links[g]
             at = np.repeat(g, links)
             nth = np.arange(len(at)) - np.repeat(np.cumsum(links) - links, links)
-            a = self.a[self.a_end[at] - self.n_a[at] + nth // self.n_b[at]]
-            b = self.b[self.b_end[at] - self.n_b[at] + nth % self.n_b[at]]
-            distinct, n = np.unique(self.doc[at] * span + a * b_size + b, return_counts=True)
+            a = a_ids[self.a_end[at] - self.n_a[at] + nth // self.n_b[at]]
+            b = b_ids[self.b_end[at] - self.n_b[at] + nth % self.n_b[at]]
+            distinct, n = np.unique(self.text[at] * span + a * b_size + b, return_counts=True)
             keys.append(distinct)
             weights.append(n)
         if not keys:
@@ -262,46 +226,98 @@ class Groups:
             key, weight = key[first], np.add.reduceat(weight, first)
         return key // span, key % span, weight
 
-    def spelt(self, doc_names: tuple[list[str], list[str], list[str], list[str]]) -> list[str]:
-        """Each document's groups as `a1,a2|b1;a3|b2,b3`; '' without tokens.
-
-        The names are those of the ids of A inside a group and at its end, then the same of B.
-        """
-        n = len(doc_names[0]), len(doc_names[2])
+    def spelt(self, names: Sequence[str], n_a: int, n_b: int) -> list[str]:
+        """Each text's groups as `a1,a2|b1;a3|b2,b3`; '' without tokens. `names` are those of `_names`."""
         last_a, last_b = np.zeros(len(self.a), dtype=bool), np.zeros(len(self.b), dtype=bool)
         last_a[self.a_end - 1] = last_b[self.b_end - 1] = True
-        names = [*doc_names[0], *doc_names[1], *doc_names[2], *doc_names[3]]
         order = np.empty(len(self.a) + len(self.b), dtype=np.int64)
         # Before a token of A stand the groups before its own with their tokens of B; of B the other way round.
         group_a, group_b = np.repeat(np.arange(len(self.n_a)), self.n_a), np.repeat(np.arange(len(self.n_b)), self.n_b)
-        order[np.arange(len(self.a)) + (self.b_end - self.n_b)[group_a]] = self.a + last_a * n[0]
-        order[np.arange(len(self.b)) + self.a_end[group_b]] = self.b + last_b * n[1] + 2 * n[0]
+        order[np.arange(len(self.a)) + (self.b_end - self.n_b)[group_a]] = self.a + last_a * n_a
+        order[np.arange(len(self.b)) + self.a_end[group_b]] = self.b + last_b * n_b + 2 * n_a
         said = list(map(names.__getitem__, order.tolist()))
         ends = self.a_bounds + self.b_bounds
         return ["".join(said[i:j])[:-1] for i, j in zip(ends[:-1], ends[1:], strict=True)]
 
 
-def _by_tokens(batch: pa.RecordBatch, at: int, most: int = 1 << 20) -> Iterator[tuple[int, int, Groups]]:
-    """Ranges of rows of about `most` tokens of A, with their groups; a longer document is a range of its own."""
-    upto = np.cumsum(np.diff(batch.column(at).offsets.to_numpy().astype(np.int64)))
-    low = 0
-    while low < batch.num_rows:
-        high = max(low + 1, int(np.searchsorted(upto, (upto[low - 1] if low else 0) + most, side="right")))
-        yield low, high, Groups(*(batch.column(at + k).slice(low, high - low) for k in range(4)))
-        low = high
+def _names(n_a: int, n_b: int) -> list[str]:
+    """The ids of A inside a group and at its end, then the same of B."""
+    return [f"{i}{end}" for n, end in ((n_a, ","), (n_a, "|"), (n_b, ","), (n_b, ";")) for i in range(n)]
 
 
-def pair_counts(groups: DataFrame, b_size: int) -> DataFrame:
-    """(pair, docs, best): in how many documents each pair is linked; best: no other pair of its first id is in more."""
+def _grouped(texts: pa.Array, first: str, second: str) -> Iterator[tuple[int, int, Groups]]:
+    """Ranges of rows with their groups."""
+    for low, high in chunks(texts, 1 << 18):
+        yield low, high, Groups([t or "" for t in texts.slice(low, high - low).to_pylist()], first, second)
+
+
+def _slim(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+ALIGNED = ("a_ids", "b_ids", "a_upto", "b_upto", "bytes_upto")
+
+
+def aligned(docs: DataFrame, first: str = BYTE_LEVEL, second: str = PIECES) -> DataFrame:
+    """(doc_id, a_ids, b_ids, a_upto, b_upto, bytes_upto) for each row: the tokens and where their groups end.
+
+    Group g has the tokens `a_upto[g - 1]:a_upto[g]` of `a_ids` and `b_upto[g - 1]:b_upto[g]` of `b_ids` and ends at the
+    byte `bytes_upto[g]` of a blank and the text. All arrays are empty where the text is null or empty, or where either
+    tokenizer's bytes differ from a blank and the text. Repeated rows are treated alike, a null id is kept, an empty
+    table gives an empty result. Other columns are not read.
+    """
+
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, part in _grouped(batch.column(1), first, second):
+                lists = (
+                    (part.a, part.a_bounds),
+                    (part.b, part.b_bounds),
+                    (part.a_end - part.a_bounds[part.text], part.bounds),
+                    (part.b_end - part.b_bounds[part.text], part.bounds),
+                    (part.bytes_upto(), part.bounds),
+                )
+                columns = [_lists(*x, pa.int32()) for x in lists]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), *columns], names=["doc_id", *ALIGNED])
+
+    return _slim(docs).mapInArrow(align, ", ".join(["doc_id long", *(f"{c} array<int>" for c in ALIGNED)]))
+
+
+def _measured(docs: DataFrame, first: str, second: str) -> DataFrame:
+    """(row, doc_id, the figures of one text, pairs, links): the linked pairs of each text and their links."""
+    a, b, *_ = _tokenizers(first, second)
+    n_a, n_b = len(a.spelt), len(b.spelt)
+    kind, arrow_kind = ("int", pa.int32()) if n_a * n_b < 1 << 31 else ("long", pa.int64())
+    columns = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = _names(n_a, n_b)
         for batch in batches:
-            for _, _, part in _by_tokens(batch, 0):
-                pair, docs = np.unique(part.pairs(b_size)[1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(docs, pa.int64())], names=["pair", "docs"])
+            for low, high, part in _grouped(batch.column(2), first, second):
+                text, pair, links = part.pairs(n_b)
+                bounds = np.searchsorted(text, np.arange(high - low + 1))
+                digests = [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in part.spelt(names, n_a, n_b)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(low, high - low),
+                        batch.column(1).slice(low, high - low),
+                        *map(pa.array, (np.diff(part.a_bounds), np.diff(part.b_bounds), np.diff(part.bounds), part.per_text(part.links))),
+                        pa.array(digests),
+                        _lists(pair, bounds, arrow_kind),
+                        _lists(links, bounds, pa.int64()),
+                    ],
+                    names=[*columns, "pairs", "links"],
+                )
 
-    pairs = groups.select("a_ids", "b_ids", "a_upto", "b_upto").mapInArrow(counted, "pair long, docs long")
-    counts = stored(pairs.groupBy("pair").agg(F.sum("docs").alias("docs")), "align-pairs")
+    kinds = ", ".join(f"{c} {'string' if c == 'groups_sha256' else 'long'}" for c in columns)
+    rows = _slim(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    return rows.mapInArrow(measure, f"{kinds}, pairs array<{kind}>, links array<long>")
+
+
+def pair_counts(measured: DataFrame, b_size: int) -> DataFrame:
+    """(pair, docs, best): in how many documents each pair is linked; best: no other pair of its first id is in more."""
+    pairs = measured.select(F.explode("pairs").alias("pair"))
+    counts = stored(pairs.groupBy("pair").agg(F.count("*").alias("docs")), "align-pairs")
     a_id = F.floor(F.col("pair") / F.lit(b_size))
     # One row for each id of the first vocabulary.
     most = counts.groupBy(a_id.alias("a_id")).agg(F.max("docs").alias("most"))
@@ -318,63 +334,56 @@ def alignment(docs: DataFrame, first: str = BYTE_LEVEL, second: str = PIECES, se
     tokens. Repeated rows count as documents of their own. About `sent_pairs` counts at most are sent to the tasks
     whatever the size of the corpus; rarer pairs are joined.
     """
-    a, b, *_ = _tokenizers(first, second)
-    n_a, n_b = len(a.spelt), len(b.spelt)
-    groups = aligned(docs, first, second).drop("bytes_upto").withColumn("row", F.monotonically_increasing_id())
-    groups = stored(groups.select("row", "doc_id", "a_ids", "b_ids", "a_upto", "b_upto"), "align-groups")
-    counts = stored(pair_counts(groups, n_b), "align-counts")
+    n_b = len(_tokenizers(first, second)[1].spelt)
+    measured = stored(_measured(docs, first, second), "align-measured")
+    counts = stored(pair_counts(measured, n_b), "align-counts")
     total = counts.count()
     frequent = counts
     if total > sent_pairs:
         share = 1 - 0.9 * sent_pairs / total
         frequent = counts.filter(F.col("docs") > counts.agg(F.percentile_approx("docs", share, 100_000)).first()[0])
     head = frequent.toArrow().sort_by("pair")
-    columns = [head.column(c).to_numpy() for c in ("pair", "docs", "best")]
-    sent = docs.sparkSession.sparkContext.broadcast(columns)
+    sent = docs.sparkSession.sparkContext.broadcast([head.column(c).to_numpy() for c in ("pair", "docs", "best")])
+    report = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, docs_of, is_best = sent.value
-        names = tuple([f"{i}{end}" for i in range(n)] for n, end in ((n_a, ","), (n_a, "|"), (n_b, ","), (n_b, ";")))
         for batch in batches:
-            for low, high, part in _by_tokens(batch, 2):
-                doc, pair, links = part.pairs(n_b)
-                place = np.minimum(np.searchsorted(known, pair), max(0, len(known) - 1))
-                there = known[place] == pair if len(known) else np.zeros(len(pair), dtype=bool)
-                place, edges = place[there], np.searchsorted(doc, np.arange(high - low + 1))
-                sums = []
-                for value in (docs_of[place] if len(known) else place, is_best[place] if len(known) else place):
-                    each = np.zeros(len(pair), dtype=np.int64)
-                    each[there] = value * links[there]
-                    upto = np.concatenate([[0], np.cumsum(each)])
-                    sums.append(upto[edges[1:]] - upto[edges[:-1]])
-                rare = np.concatenate([[0], np.cumsum(~there)])[edges]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(low, high - low),
-                        batch.column(1).slice(low, high - low),
-                        pa.array(np.diff(part.a_bounds)),
-                        pa.array(np.diff(part.b_bounds)),
-                        pa.array(np.diff(part.bounds)),
-                        pa.array(part.per_doc(part.links)),
-                        pa.array(sums[1]),
-                        pa.array(sums[0]),
-                        pa.array([hashlib.sha256(s.encode()).hexdigest() if s else "" for s in part.spelt(names)]),
-                        _lists(pair[~there], rare, pa.int64()),
-                        _lists(links[~there], rare, pa.int64()),
-                    ],
-                    names=[*report, "rare", "rare_links"],
-                )
-
-    report = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
-    kinds = ", ".join(f"{c} {'string' if c == 'groups_sha256' else 'long'}" for c in report)
-    out = groups.mapInArrow(scored, f"{kinds}, rare array<long>, rare_links array<long>")
-    if total > len(head):
-        out = stored(out, "align-scored")
-        rare = out.select("row", F.explode(F.arrays_zip(F.col("rare").alias("pair"), F.col("rare_links").alias("links"))).alias("x"))
-        met = rare.select("row", "x.pair", "x.links").join(counts, "pair")
-        more = met.groupBy("row").agg(
-            F.sum(F.col("links") * F.col("docs")).alias("more_sum"), F.sum(F.when(F.col("best"), F.col("links"))).alias("more_best")
-        )
-        added = {"n_best": F.col("n_best") + F.coalesce("more_best", F.lit(0)), "count_sum": F.col("count_sum") + F.coalesce("more_sum", F.lit(0))}
-        out = out.join(more, "row", "left").withColumns(added)
-    return out.select(*report[1:])
+            row, pairs, links = batch.columns
+            edges = pairs.offsets.to_numpy().astype(np.int64)
+            edges -= edges[0]
+            pair, links = pairs.flatten().to_numpy(), links.flatten().to_numpy()
+            if len(known):
+                place = np.minimum(np.searchsorted(known, pair), len(known) - 1)
+                there = known[place] == pair
+                found = np.where(there, docs_of[place], 0), there & is_best[place]
+            else:
+                there = np.zeros(len(pair), dtype=bool)
+                found = there, there
+            upto = [np.concatenate([[0], np.cumsum(links * value)]) for value in found]
+            rare = np.concatenate([[0], np.cumsum(~there)])[edges]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    row,
+                    *(pa.array(u[edges[1:]] - u[edges[:-1]]) for u in upto),
+                    _lists(pair[~there], rare, pa.int64()),
+                    _lists(links[~there], rare, pa.int64()),
+                ],
+                names=["row", "count_sum", "n_best", "rare", "rare_links"],
+            )
+
+    # The figures of a text go through the tasks with its pairs.
+    figures = F.struct(*[c for c in measured.columns if c in report]).alias("row")
+    if total == len(head):
+        kind = measured.select(figures).schema["row"].dataType.simpleString()
+        out = measured.select(figures, "pairs", "links").mapInArrow(score, f"row {kind}, count_sum long, n_best long, rare array<long>, rare_links array<long>")
+        return out.select("row.*", "count_sum", "n_best").select(report)
+    out = measured.select("row", "pairs", "links").mapInArrow(score, "row long, count_sum long, n_best long, rare array<long>, rare_links array<long>")
+    out = stored(out, "align-scored")
+    rare = out.select("row", F.explode(F.arrays_zip(F.col("rare").alias("pair"), F.col("rare_links").alias("links"))).alias("x"))
+    met = rare.select("row", "x.pair", "x.links").join(counts, "pair")
+    more = met.select("row", (F.col("links") * F.col("docs")).alias("count_sum"), F.when(F.col("best"), F.col("links")).otherwise(0).alias("n_best"))
+    sums = out.select("row", "count_sum", "n_best").unionByName(more).groupBy("row").agg(
+        F.sum("count_sum").alias("count_sum"), F.sum("n_best").alias("n_best")
+    )
+    return measured.join(sums, "row").select(report)
