@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
+import json
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -40,22 +42,30 @@ def _byte_of_letter() -> dict[str, int]:
 
 
 class ByteLevelTokens:
-    """Byte-level BPE of a blank and the text; strings of special tokens are plain text."""
+    """Byte-level BPE of a blank and the text; strings of special tokens are plain text.
+
+    The entries of the vocabulary file are merged by rank. That is the same as merging by the file's list, since its merges
+    are in the order of the ids they make, and every entry is what the merges make of its own bytes.
+    """
+
+    # Fixed value: the public pattern that cuts texts before byte-level merges.
+    PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)
+        special = {t["id"]: t["content"] for t in model["added_tokens"]}
         letters = _byte_of_letter()
-        size = self.model.get_vocab_size()
-        entries = [self.model.id_to_token(i) or "" for i in range(size)]
-        special = set(self.model.get_added_tokens_decoder())
-        self.spelt = [e.encode() if i in special else bytes(letters[c] for c in e) for i, e in enumerate(entries)]
+        vocabulary = model["model"]["vocab"]
+        ranks = {bytes(letters[c] for c in entry): i for entry, i in vocabulary.items() if i not in special}
+        self.model = tiktoken.Encoding("byte-level", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        entries = {i: entry for entry, i in ranks.items()} | {i: s.encode() for i, s in special.items()}
+        self.spelt = [entries.get(i, b"") for i in range(max(entries) + 1)]
 
     def encode(self, texts: Sequence[str]) -> list[list[int]]:
-        # One text at a time: a batch would start threads of its own beside the task.
-        return [self.model.encode(" " + text, add_special_tokens=False).ids for text in texts]
+        return [self.model.encode_ordinary(" " + text) for text in texts]
 
 
 class PieceTokens:
@@ -75,11 +85,40 @@ class PieceTokens:
         return self.model.encode(list(texts), num_threads=1)
 
 
+class Tokens:
+    """The tokens of texts by both tokenizers."""
+
+    def __init__(self, first: str, second: str):
+        self.both = ByteLevelTokens(first), PieceTokens(second)
+        self.sizes = [np.array([len(s) for s in t.spelt]) for t in self.both]
+
+    def encode(self, texts: Sequence[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(ids, bounds) by each tokenizer: text i has the tokens `ids[bounds[i]:bounds[i + 1]]`.
+
+        An empty text has no tokens, nor has one whose bytes differ by either tokenizer from a blank and the text.
+        """
+        ids = [t.encode(texts) for t in self.both]
+        for i, text in enumerate(texts):
+            whole = (" " + text).encode()
+            if not text or any(b"".join(map(t.spelt.__getitem__, x[i])) != whole for t, x in zip(self.both, ids, strict=True)):
+                ids[0][i] = ids[1][i] = []
+        out = []
+        for each in ids:
+            bounds = np.zeros(len(texts) + 1, dtype=np.int64)
+            np.cumsum([len(x) for x in each], out=bounds[1:])
+            out.append((np.fromiter(itertools.chain.from_iterable(each), dtype=np.int32, count=int(bounds[-1])), bounds))
+        return out
+
+
 @functools.cache
-def _tokenizers(first: str, second: str) -> tuple[ByteLevelTokens, PieceTokens, np.ndarray, np.ndarray]:
-    """Both tokenizers and the lengths of their tokens in bytes; read once in a worker."""
-    a, b = ByteLevelTokens(first), PieceTokens(second)
-    return a, b, np.array([len(s) for s in a.spelt]), np.array([len(s) for s in b.spelt])
+def _tokens(first: str, second: str) -> Tokens:
+    """Read once in a worker."""
+    return Tokens(first, second)
+
+
+def _sizes(first: str, second: str) -> tuple[int, int]:
+    """Numbers of ids of both vocabularies."""
+    return tuple(len(t.spelt) for t in _tokens(first, second).both)
 
 
 def gallop(ends: np.ndarray, wanted: np.ndarray, guess: np.ndarray) -> np.ndarray:
@@ -139,12 +178,6 @@ def common_ends(a_ends: np.ndarray, b_ends: np.ndarray, a_bounds: np.ndarray, b_
     return np.flatnonzero(in_a), np.flatnonzero(in_b)
 
 
-def _flat(values: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    bounds = np.zeros(len(values) + 1, dtype=np.int64)
-    np.cumsum([len(v) for v in values], out=bounds[1:])
-    return np.fromiter((x for v in values for x in v), dtype=np.int32, count=int(bounds[-1])), bounds
-
-
 def _lists(values: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, kind))
 
@@ -157,18 +190,11 @@ class Groups:
     """
 
     def __init__(self, texts: Sequence[str], first: str, second: str):
-        a, b, a_size, b_size = _tokenizers(first, second)
-        a_ids, b_ids = a.encode(texts), b.encode(texts)
-        for i, text in enumerate(texts):
-            whole = (" " + text).encode()
-            same = b"".join(map(a.spelt.__getitem__, a_ids[i])) == whole == b"".join(map(b.spelt.__getitem__, b_ids[i]))
-            if not (text and same):
-                a_ids[i] = b_ids[i] = []
-        self.a, self.a_bounds = _flat(a_ids)
-        self.b, self.b_bounds = _flat(b_ids)
+        tokens = _tokens(first, second)
+        (self.a, self.a_bounds), (self.b, self.b_bounds) = tokens.encode(texts)
         # Both cut the same bytes of each text, so the running ends of all texts can be compared as they are.
-        self.ends = np.cumsum(a_size[self.a])
-        in_a, in_b = common_ends(self.ends, np.cumsum(b_size[self.b]), self.a_bounds, self.b_bounds)
+        self.ends = np.cumsum(tokens.sizes[0][self.a])
+        in_a, in_b = common_ends(self.ends, np.cumsum(tokens.sizes[1][self.b]), self.a_bounds, self.b_bounds)
         self.a_end, self.b_end = in_a + 1, in_b + 1
         self.n_a, self.n_b = np.diff(self.a_end, prepend=0), np.diff(self.b_end, prepend=0)
         self.links = self.n_a * self.n_b
@@ -204,7 +230,7 @@ class Groups:
         small = np.flatnonzero(~big)
         upto = np.cumsum(self.links[small])
         edges = np.searchsorted(upto, np.arange(0, upto[-1] if len(upto) else 0, most), side="right")
-        for low, high in zip(edges, [*edges[1:], len(small)], strict=True):
+        for low, high in itertools.pairwise([*edges, len(small)]):
             g = small[low:high]
             links = self.links[g]
             at = np.repeat(g, links)
@@ -247,7 +273,7 @@ def _names(n_a: int, n_b: int) -> list[str]:
 
 def _grouped(texts: pa.Array, first: str, second: str) -> Iterator[tuple[int, int, Groups]]:
     """Ranges of rows with their groups."""
-    for low, high in chunks(texts, 1 << 18):
+    for low, high in chunks(texts, 1 << 19):
         yield low, high, Groups([t or "" for t in texts.slice(low, high - low).to_pylist()], first, second)
 
 
@@ -285,8 +311,7 @@ def aligned(docs: DataFrame, first: str = BYTE_LEVEL, second: str = PIECES) -> D
 
 def _measured(docs: DataFrame, first: str, second: str) -> DataFrame:
     """(row, doc_id, the figures of one text, pairs, links): the linked pairs of each text and their links."""
-    a, b, *_ = _tokenizers(first, second)
-    n_a, n_b = len(a.spelt), len(b.spelt)
+    n_a, n_b = _sizes(first, second)
     kind, arrow_kind = ("int", pa.int32()) if n_a * n_b < 1 << 31 else ("long", pa.int64())
     columns = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
 
@@ -334,7 +359,7 @@ def alignment(docs: DataFrame, first: str = BYTE_LEVEL, second: str = PIECES, se
     tokens. Repeated rows count as documents of their own. About `sent_pairs` counts at most are sent to the tasks
     whatever the size of the corpus; rarer pairs are joined.
     """
-    n_b = len(_tokenizers(first, second)[1].spelt)
+    n_b = _sizes(first, second)[1]
     measured = stored(_measured(docs, first, second), "align-measured")
     counts = stored(pair_counts(measured, n_b), "align-counts")
     total = counts.count()
