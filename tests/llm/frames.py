@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
 # Columns that users may have and that operators use as names inside.
-CLASHING = ("row_a", "row_b", "line", "lines_dropped", "hits", "toxicity", "Row", "size", "word", "pii_row")
+CLASHING = ("row_a", "row_b", "line", "lines_dropped", "hits", "toxicity", "Row", "size", "word", "pii_row", "key", "tie", "bin", "pairs", "digest", "rank")
 WORDS = [a + b for a in ("ba", "ce", "di", "fo", "gu", "la", "mer", "nit", "sol", "tra") for b in ("n", "rk", "lo", "st", "mu", "xi")]
 
 

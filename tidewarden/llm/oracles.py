@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from tidewarden.llm.tokens import STEP
+from tidewarden.llm.winnowing import Winnower
+
 OP9 = """
 WITH sized AS (
   SELECT doc_id, source,
@@ -96,4 +99,87 @@ SELECT r.doc_id, CASE WHEN j.changed THEN j.text ELSE r.text END AS text, r.lang
 FROM rows r LEFT JOIN joined j USING (rid)
 """
 
-SQL = {"op1_topk": OP1, "op5_jaccard": OP5, "op8_line_dedup": OP8, "op9_mixing": OP9}
+
+def _op11(rule: Winnower) -> str:
+    """Winnowing with the k and window of the rule; sums of 128 bits stand for those modulo 2 ** 64."""
+    places = range(rule.k)
+    weights = [pow(int(STEP), j, 1 << 64) for j in places]
+    gram = " + ".join(f"coalesce((lead(point, {j}) OVER w + 1)::UHUGEINT * {weights[j]}::UHUGEINT, 0)" for j in places)
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars FROM documents),
+followed AS (
+  SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id DESC), first_value(text) OVER (ORDER BY doc_id DESC)) AS after FROM docs),
+changed AS (SELECT *, substr(text, 1, n_chars - n_chars // 3) || substr(after, 1, n_chars // 3) AS edited FROM followed),
+texts AS (
+  SELECT t, row_number() OVER () AS id, length(t) AS n
+  FROM (SELECT text AS t FROM changed UNION SELECT edited FROM changed)),
+points AS (
+  SELECT id, n, generate_subscripts(c, 1) - 1 AS i, unnest(c) AS point
+  FROM (SELECT id, n, [unicode(x) FOR x IN regexp_extract_all(t, '(?s).')] AS c FROM texts)),
+grams AS (
+  SELECT id, n, i, CAST(({gram}) % 18446744073709551616::UHUGEINT AS UBIGINT) AS hash
+  FROM points WINDOW w AS (PARTITION BY id ORDER BY i)),
+valid AS (SELECT id, i, hash, greatest(n - {rule.k}, 0) AS last FROM grams WHERE i <= greatest(n - {rule.k}, 0)),
+least_of AS (
+  SELECT id, i, last, min((hash::UHUGEINT * 4294967296::UHUGEINT) + (4294967295 - i)::UHUGEINT) OVER
+    (PARTITION BY id ORDER BY i ROWS BETWEEN CURRENT ROW AND {rule.window - 1} FOLLOWING) AS x FROM valid),
+kept AS (
+  SELECT DISTINCT id, CAST(x // 4294967296::UHUGEINT AS UBIGINT) AS hash, CAST(4294967295::UHUGEINT - x % 4294967296::UHUGEINT AS BIGINT) AS place
+  FROM least_of WHERE i <= greatest(last - {rule.window - 1}, 0)),
+prints AS (
+  SELECT t, coalesce(string_agg(lower(lpad(to_hex(hash), 16, '0')) || ':' || place, ',' ORDER BY place), '') AS said,
+         coalesce(list(DISTINCT hash) FILTER (hash IS NOT NULL), []) AS hashes
+  FROM texts LEFT JOIN kept USING (id) GROUP BY t),
+near AS (
+  SELECT c.doc_id, c.n_chars, sha256(c.edited) AS edited_sha256, o.said AS fingerprint, e.said AS edited_fingerprint,
+         o.hashes AS h, len(list_intersect(o.hashes, e.hashes)) AS be, len(e.hashes) AS ne,
+         len(list_intersect(o.hashes, f.hashes)) AS bf, len(f.hashes) AS nf
+  FROM changed c JOIN prints o ON c.text = o.t JOIN prints e ON c.edited = e.t JOIN prints f ON c.after = f.t)
+SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+       CASE WHEN len(h) + ne = 0 THEN 1.0::DOUBLE ELSE be::DOUBLE / (len(h) + ne - be) END AS near_edited,
+       CASE WHEN len(h) + nf = 0 THEN 1.0::DOUBLE ELSE bf::DOUBLE / (len(h) + nf - bf) END AS near_next
+FROM near
+"""
+
+
+OP13 = """
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+occurring AS (
+  SELECT rid, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (
+  SELECT lang, term, CAST(count(*) AS BIGINT) AS n FROM occurring GROUP BY ALL HAVING count(DISTINCT rid) >= 3),
+langs AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(n) AS total FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM occurring SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+sizes AS (
+  SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS total FROM groups g LEFT JOIN counts c USING (lang, source) GROUP BY ALL),
+shares AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+         1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (s.total + l.v) AS p,
+         1 + 1000000000::HUGEINT * (k.n + 1) // (l.total + l.v) AS q
+  FROM sizes s JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+summed AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT g.lang, g.source, o.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+  FROM groups g JOIN groups o ON g.lang = o.lang AND g.source <> o.source
+  LEFT JOIN summed s ON s.lang = g.lang AND s.source = g.source AND s.item = o.source),
+valued AS (
+  SELECT 'pair' AS part, lang, source, item, value FROM pairs UNION ALL
+  SELECT 'term', lang, source, term, CAST((p - q) * (p - q) // q AS BIGINT) FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INT) AS rank FROM valued)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+SQL = {
+    "op1_topk": OP1,
+    "op5_jaccard": OP5,
+    "op8_line_dedup": OP8,
+    "op9_mixing": OP9,
+    "op11_winnowing": _op11(Winnower()),
+    "op13_divergence": OP13,
+}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewarden.llm.alignment import alignment
 from tidewarden.llm.decontaminate import contamination
+from tidewarden.llm.divergence import divergence
 from tidewarden.llm.htmlblocks import main_text
 from tidewarden.llm.jaccard import near_duplicates
 from tidewarden.llm.langid import identify
@@ -16,6 +17,7 @@ from tidewarden.llm.mixing import mixture
 from tidewarden.llm.pii import personal_data
 from tidewarden.llm.topk import top_k
 from tidewarden.llm.toxicity import toxicity
+from tidewarden.llm.winnowing import compared
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,10 +64,18 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compared(table(spark, sf_dir, "documents"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment(table(spark, sf_dir, "documents"))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_topk": op1_topk,
     "op2_pii": op2_pii,
@@ -77,5 +87,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
     "op10_language": op10_language,
+    "op11_winnowing": op11_winnowing,
     "op12_alignment": op12_alignment,
+    "op13_divergence": op13_divergence,
 }

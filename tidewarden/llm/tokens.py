@@ -77,32 +77,41 @@ def chunks(column: pa.Array, most_bytes: int = 1 << 19) -> Iterator[tuple[int, i
         start = end
 
 
-def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes, bounds, starts, ends, data): the words of all values, one after the other.
-
-    `bounds[i]:bounds[i + 1]` are the words of value i, `data[starts[k]:ends[k]]` the bytes of word k. A word is a
-    run of letters and digits of any script, in lower case; a null value has none.
-    """
-    lowered = pc.utf8_lower(pc.fill_null(column.cast(pa.large_string()), ""))
-    data, offsets = string_bytes(lowered)
-    if not len(data):
-        empty = np.zeros(0, dtype=np.int64)
-        return np.zeros(0, dtype=np.uint64), np.zeros(len(column) + 1, dtype=np.int64), empty, empty, data
-    inside = IN_WORD[data]
+def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last place, this one exclusive, of the runs of marked bytes; no run reaches over two values."""
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     ends = inside.copy()
     ends[:-1] &= ~inside[1:]
     # Two neighbouring values without a separator between them are two words.
     cuts = offsets[1:-1]
-    cuts = cuts[(cuts > 0) & (cuts < len(data))]
+    cuts = cuts[(cuts > 0) & (cuts < len(inside))]
     begins[cuts] |= inside[cuts]
     ends[cuts - 1] |= inside[cuts - 1]
-    starts, stops = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
+
+
+def run_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A hash of the bytes from each start to its stop, from running sums over all bytes."""
     up, down = POWERS.upto(len(data))
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(BYTE_VALUE[data] * up[: len(data)], dtype=np.uint64, out=sums[1:])
-    hashes = mixed((sums[stops] - sums[starts]) * down[starts])
+    return mixed((sums[stops] - sums[starts]) * down[starts])
+
+
+def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, bounds, starts, ends, data): the words of all values, one after the other.
+
+    `bounds[i]:bounds[i + 1]` are the words of value i, `data[starts[k]:ends[k]]` the bytes of word k. A word is a
+    run of letters and digits of any script, in lower case; a null value has none.
+    """
+    lowered = pc.utf8_lower(pc.fill_null(column.cast(pa.large_string()), ""))
+    data, offsets = string_bytes(lowered)
+    if not len(data):
+        empty = np.zeros(0, dtype=np.int64)
+        return np.zeros(0, dtype=np.uint64), np.zeros(len(column) + 1, dtype=np.int64), empty, empty, data
+    starts, stops = runs(IN_WORD[data], offsets)
+    hashes = run_hashes(data, starts, stops)
     return hashes, np.searchsorted(starts, offsets), starts, stops, data
 
 
