@@ -54,8 +54,8 @@ def minima(hashes: np.ndarray, window: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Winnower:
-    k: int = 16
-    window: int = 24
+    k: int = 12
+    window: int = 16
     block: int = 1 << 18
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -75,20 +75,22 @@ class Winnower:
             stop = min(windows, start + self.block)
             part = gram_hashes(points[start : stop + window + k - 2], k)
             at = minima(part, window)
-            # The first window of a block may keep what the last one before it has kept.
-            at = at[1:] if places and places[-1][-1] == start + at[0] else at
             hashes.append(part[at])
             places.append(start + at)
-        return np.concatenate(hashes), np.concatenate(places)
+        # The first window of a block may keep what the last one before it has kept.
+        kept = np.concatenate(places)
+        once = np.diff(kept, prepend=-1) > 0
+        return np.concatenate(hashes)[once], kept[once]
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Shared distinct hashes over all distinct hashes of two fingerprints; two empty ones are alike."""
-    a, b = np.unique(a), np.unique(b)
+    """Shared hashes over all hashes of two fingerprints, repeated ones counted; two empty ones are alike."""
     if not (len(a) or len(b)):
         return 1.0
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / (len(a) + len(b) - both)
+    (a, n_a), (b, n_b) = np.unique(a, return_counts=True), np.unique(b, return_counts=True)
+    _, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    both = int(np.minimum(n_a[at_a], n_b[at_b]).sum())
+    return both / (int(n_a.sum()) + int(n_b.sum()) - both)
 
 
 def spelt(prints: list[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
