@@ -34,7 +34,7 @@ def terms(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     data, offsets = string_bytes(column)
     data = LOWER[data]
     inside = TERM_BYTE[data]
-    starts, stops = runs(inside, offsets)
+    starts, stops = runs(inside, offsets[1:-1])
     ends = np.zeros(len(starts) + 1, dtype=np.int64)
     np.cumsum(stops - starts, out=ends[1:])
     letters = pa.py_buffer(data[inside].tobytes())

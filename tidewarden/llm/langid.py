@@ -74,7 +74,7 @@ def identify(
     Learnt from rows with a language whose crc32(doc_id) modulo `modulus` is not 0: the languages' shares from all
     of them, the piece probabilities from a sample of about `sample_docs` rows a language, taken by a digest of the
     id. `und` with score 0 is predicted where the text is null or has no letter, and everywhere if nothing could be
-    learnt. Words are lower-cased runs of letters and digits. Of equally probable languages the first by code point
+    learnt. Words are those of `tokens.words`. Of equally probable languages the first by code point
     is taken. A row without an id is not learnt from and not held out; repeated rows get equal results; an empty
     table gives an empty result. Other columns are not read.
     """

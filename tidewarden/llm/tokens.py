@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,16 +19,54 @@ def _inverse(odd: int) -> int:
     return pow(odd, -1, 1 << 64)
 
 
-def _word_bytes() -> np.ndarray:
-    """Whether a byte belongs to a word: ASCII letters, digits and every byte of a longer UTF-8 sequence."""
-    kind = np.zeros(256, dtype=bool)
-    for low, high in (("0", "9"), ("a", "z"), ("A", "Z")):
-        kind[ord(low) : ord(high) + 1] = True
-    kind[128:] = True
-    return kind
+# Characters of scripts that put no blanks between words: each is a word of its own. Unicode blocks.
+UNSPACED = (
+    (0x0E00, 0x0EFF),  # Thai, Lao
+    (0x1000, 0x109F),  # Myanmar
+    (0x1780, 0x17FF),  # Khmer
+    (0x2E80, 0x2FDF),  # radicals
+    (0x3005, 0x3007),
+    (0x3021, 0x3029),
+    (0x3040, 0x30FF),  # Hiragana, Katakana
+    (0x31F0, 0x31FF),
+    (0x3400, 0x4DBF),  # Han
+    (0x4E00, 0x9FFF),
+    (0xF900, 0xFAFF),
+    (0xFF66, 0xFF9F),
+    (0x20000, 0x3FFFF),
+)
+SEPARATOR, IN_WORD, OWN_WORD = 0, 1, 2
+
+
+@functools.cache
+def _kinds() -> np.ndarray:
+    """The kind of every code point: letters, numbers and marks stand in words."""
+    kinds = np.array([unicodedata.category(chr(c))[0] in "LNM" for c in range(0x110000)], dtype=np.uint8)
+    for low, high in UNSPACED:
+        kinds[low : high + 1] *= OWN_WORD
+    return kinds
+
+
+def _in_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each byte of UTF-8 text belongs to a word, and the places where a word ends though the next byte is in one."""
+    inside = _kinds()[:128][np.minimum(data, 127)] > 0
+    high = np.flatnonzero(data >= 0xC0)
+    inside[data >= 0x80] = False
+    if not len(high):
+        return inside, high
+    lead = data[high].astype(np.int64)
+    size = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+    point = lead & (0xFF >> (size + 1))
+    for k in (1, 2, 3):
+        more = size > k
+        point[more] = point[more] << 6 | data[high[more] + k] & 0x3F
+    kind = _kinds()[point]
+    word = kind > 0
+    inside[np.repeat(high[word] - np.cumsum(size[word]) + size[word], size[word]) + np.arange(size[word].sum())] = True
+    own = kind == OWN_WORD
+    return inside, np.concatenate([high[own], high[own] + size[own]])
 
 
-IN_WORD = _word_bytes()
 BYTE_VALUE = np.random.Generator(np.random.PCG64(20)).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 
 
@@ -77,14 +117,12 @@ def chunks(column: pa.Array, most_bytes: int = 1 << 19) -> Iterator[tuple[int, i
         start = end
 
 
-def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last place, this one exclusive, of the runs of marked bytes; no run reaches over two values."""
+def runs(inside: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last place, this one exclusive, of the runs of marked bytes; no run reaches over a cut."""
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     ends = inside.copy()
     ends[:-1] &= ~inside[1:]
-    # Two neighbouring values without a separator between them are two words.
-    cuts = offsets[1:-1]
     cuts = cuts[(cuts > 0) & (cuts < len(inside))]
     begins[cuts] |= inside[cuts]
     ends[cuts - 1] |= inside[cuts - 1]
@@ -102,15 +140,18 @@ def run_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.nd
 def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hashes, bounds, starts, ends, data): the words of all values, one after the other.
 
-    `bounds[i]:bounds[i + 1]` are the words of value i, `data[starts[k]:ends[k]]` the bytes of word k. A word is a
-    run of letters and digits of any script, in lower case; a null value has none.
+    `bounds[i]:bounds[i + 1]` are the words of value i, `data[starts[k]:ends[k]]` the bytes of word k. A word
+    is a run of letters, numbers and marks of any script, in lower case; a character of a script that puts no blanks
+    between words is a word of its own. A null value has none.
     """
     lowered = pc.utf8_lower(pc.fill_null(column.cast(pa.large_string()), ""))
     data, offsets = string_bytes(lowered)
     if not len(data):
         empty = np.zeros(0, dtype=np.int64)
         return np.zeros(0, dtype=np.uint64), np.zeros(len(column) + 1, dtype=np.int64), empty, empty, data
-    starts, stops = runs(IN_WORD[data], offsets)
+    inside, cuts = _in_words(data)
+    # Two neighbouring values without a separator between them are two words.
+    starts, stops = runs(inside, np.concatenate([offsets[1:-1], cuts]))
     hashes = run_hashes(data, starts, stops)
     return hashes, np.searchsorted(starts, offsets), starts, stops, data
 
