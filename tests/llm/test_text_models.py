@@ -10,7 +10,7 @@ import pytest
 
 from tests.llm import frames
 from tidewarden.llm import htmlblocks, toxicity
-from tidewarden.llm.decontaminate import Index, Rule, contamination, without_contaminated
+from tidewarden.llm.decontaminate import Index, Rule, contamination, overlaps, without_contaminated
 from tidewarden.llm.tokens import words
 
 SMALL = toxicity.Shape(buckets=1 << 10, width=6, filters=3, epochs=3)
@@ -158,7 +158,6 @@ def test_small_blocks_of_items_find_the_same(spark):
     docs, bench = frames.documents(spark, rows), spark.createDataFrame(items, ITEMS)
     kept = without_contaminated(docs, bench)
     assert {r.doc_id for r in kept.collect()} == {i for i, *_ in rows} - set(truth)
-    from tidewarden.llm.decontaminate import overlaps
 
     found = overlaps(docs, bench, "hits", block_words=300).collect()
     assert {r.doc_id: {h.item_id for h in r.hits} for r in found if r.hits} == truth
@@ -203,6 +202,20 @@ def test_found_equals_all_segments(n):
     assert set(index.found(values, bounds)) == {i for i, row in enumerate(kept) if counts(row)}
 
 
+def test_the_longest_overlap_of_an_item_is_told(spark):
+    item = " ".join(f"w{k}" for k in range(40))
+    text = f"{' '.join(item.split()[5:19])} between {item} behind"
+    hits = overlaps(frames.documents(spark, [(1, text, "en", "a")]), spark.createDataFrame([(7, item)], ITEMS), "hits").first().hits
+    assert [(h.item_id, h.start, h.words, h.equal) for h in hits] == [(7, 15, 40, 40)]
+
+
+def test_items_of_scripts_without_blanks(spark):
+    item = "这是一个用来测试的句子，里面没有空格。"
+    rows = [(1, f"前面的话{item}后面的话", "zh", "a"), (2, item.replace("测试", "检查").replace("，", ","), "zh", "a"), (3, "完全不同的一句话，和它没有关系。", "zh", "a")]
+    out = {r.doc_id: r.contaminated for r in contamination(frames.documents(spark, rows), spark.createDataFrame([(1, item)], ITEMS)).collect()}
+    assert out == {1: True, 2: True, 3: False}
+
+
 def test_stricter_rule(spark):
     rows, items, truth = planted()
     out = contamination(frames.documents(spark, rows), spark.createDataFrame(items, ITEMS), Rule(identity=1.0, least_words=30)).collect()

@@ -92,7 +92,7 @@ class Index:
                 self.tables.append((mask, seeds[order], at[order], owner[at[order]], seen))
 
     def found(self, hashes: np.ndarray, bounds: np.ndarray) -> dict[int, list[tuple[int, int, int, int]]]:
-        """For each text with an overlap, by place: (item id, first word, words, equal words), one for each item."""
+        """For each text with an overlap, by place: (item id, first word, words, equal words), the longest of each item."""
         owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
         texts, items, shifts = [], [], []
         for mask, seeds, at, item, seen in self.tables:
@@ -111,12 +111,13 @@ class Index:
         if not texts:
             return {}
         lanes = np.unique(np.stack([np.concatenate(c) for c in (texts, items, shifts)], axis=1), axis=0)
-        out: dict[int, list[tuple[int, int, int, int]]] = {}
-        done = None
+        best: dict[tuple[int, int], list[int]] = {}
         for text, item, *overlap in self._overlaps(hashes, bounds, lanes):
-            if (text, item) == done:
-                continue
-            done = (text, item)
+            # Of an item's overlaps the longest, the first of equally long ones.
+            if (text, item) not in best or overlap[1] > best[text, item][1]:
+                best[text, item] = overlap
+        out: dict[int, list[tuple[int, int, int, int]]] = {}
+        for (text, item), overlap in best.items():
             out.setdefault(text, []).append((self.ids[item], *overlap))
         return out
 
@@ -168,8 +169,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, name: str, rule: Rule | None
     """The rows and columns of `docs` with `name`: an array of (item_id, start, words, equal), one for each item found.
 
     An item is found in a text where, on one alignment, a segment of at least `least_words` words (or the whole item,
-    if it is shorter) agrees in `identity` of them; `start` counts words from 0. Words are lower-cased runs of letters
-    and digits. Items of fewer than `shortest_item` words are not sought. With the given masks nothing is missed at an
+    if it is shorter) agrees in `identity` of them; the longest on any alignment is told, `start` counts words from 0.
+    Words are those of `tokens.words`. Items of fewer than `shortest_item` words are not sought. With the given masks nothing is missed at an
     identity of 0.8 or more and a `least_words` of 6 or more. A null or empty text has no overlap; null items are left out; of an item id that
     repeats each text counts.
     """
