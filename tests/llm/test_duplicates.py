@@ -1,6 +1,7 @@
 """The similarity join against all pairs, and line dedup against a plain count."""
 
 import random
+import unicodedata
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 from tests.llm import frames
 from tidewarden.llm.jaccard import components, least_equal, near_duplicates, one_of_each, possible
 from tidewarden.llm.linespread import without_spread_lines
-from tidewarden.llm.tokens import words
+from tidewarden.llm.tokens import UNSPACED, words
 
 
 def shingles(text, size=5):
@@ -120,11 +121,13 @@ def test_filter_of_possible_rows_loses_none(spark):
     assert left.join(wanted, "key").count() == 200 and left.count() < 2000
 
 
-@pytest.mark.parametrize("texts", [["Ab c", None, "", "x1-y2", "É é", "漢字 a"], [""], []])
+@pytest.mark.parametrize("texts", [["Ab c", None, "", "x1-y2", "É é", "漢字 a"], [""], [], ["a", "漢", "b“c”—d", "中文。テスト，ok", "no\u00a0break… e\u0301t 😀x", "ไทย", "漢a漢"]])
 def test_words_equal_a_plain_split(texts):
     hashes, bounds, starts, ends, data = words(pa.array(texts, pa.string()))
     got = [[bytes(data[starts[k] : ends[k]]).decode() for k in range(bounds[i], bounds[i + 1])] for i in range(len(texts))]
-    assert got == ["".join(c if c.isalnum() else " " for c in (t or "").lower()).split() for t in texts]
+    own = lambda c: any(low <= ord(c) <= high for low, high in UNSPACED)
+    kept = lambda c: unicodedata.category(c)[0] in "LNM"
+    assert got == ["".join((f" {c} " if own(c) else c) if kept(c) else " " for c in (t or "").lower()).split() for t in texts]
     flat = [w for ws in got for w in ws]
     assert len(set(zip(flat, hashes.tolist()))) == len(set(flat)) == len(set(hashes.tolist()))
 
@@ -162,9 +165,9 @@ def page_rows(seed=1, n=400):
 
 @pytest.mark.parametrize("keep_first", [True, False])
 @pytest.mark.parametrize("sites", [3, 10, 14])
-def test_lines_equal_a_plain_count(spark, sites, keep_first):
+def test_lines_in_distinct_texts_equal_a_plain_count(spark, sites, keep_first):
     rows = page_rows()
-    out = without_spread_lines(frames.documents(spark, rows), sites=sites, keep_first=keep_first).collect()
+    out = without_spread_lines(frames.documents(spark, rows), sites=sites, keep_first=keep_first, distinct_texts=True).collect()
     assert {r.doc_id: r.text for r in out} == plain_lines(rows, sites, keep_first)
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in out)
 
@@ -173,7 +176,7 @@ def test_lines_equal_a_plain_count(spark, sites, keep_first):
 def test_lines_by_sites_alone(spark, sites):
     """Lines of a page copied as a whole go as well; the first copy keeps them."""
     rows = page_rows()
-    out = {r.doc_id: r.text for r in without_spread_lines(frames.documents(spark, rows), sites=sites, distinct_texts=False).collect()}
+    out = {r.doc_id: r.text for r in without_spread_lines(frames.documents(spark, rows), sites=sites).collect()}
     where = defaultdict(set)
     first = {}
     bare = lambda line: line.strip(" \t\r\x0b\x0c")

@@ -1,11 +1,10 @@
 """Removing lines that many sites carry, by HyperLogLog sketches of distinct sites per line.
 
 Every line is known by a 64-bit hash of its trimmed text. A line's spread is the number of distinct sites among
-the texts that hold it, and, so that a page copied as a whole is no boilerplate, the number of distinct texts too,
-unless sites alone are to decide.
-Sketches of sites and of texts are built per line and task and merged by aggregation, so a frequent line sends one
-row per task. An estimate clearly above or below the threshold decides; for the lines near it sites and texts are
-counted exactly.
+the texts that hold it. Where a page copied as a whole is to be no boilerplate, the number of distinct texts can be
+asked for as well.
+Sketches are built per line and task and merged by aggregation, so a frequent line sends one row per task. An estimate
+clearly above or below the threshold decides; for the lines near it sites (and texts) are counted exactly.
 """
 
 from __future__ import annotations
@@ -41,19 +40,16 @@ def _occurrences(docs: DataFrame) -> DataFrame:
 
 
 def spread_lines(
-    occurrences: DataFrame, sites: int, lg_k: int = 10, band: float = 0.15, salts: int = 16, distinct_texts: bool = True
+    occurrences: DataFrame, sites: int, lg_k: int = 10, band: float = 0.15, salts: int = 16, distinct_texts: bool = False
 ) -> DataFrame:
     """(line): the lines on at least `sites` distinct sites and, with `distinct_texts`, in as many distinct texts.
 
     The relative error of a sketch is about 1.04 / sqrt(2 ** lg_k), 3 % by default; `band` is several times that.
     """
-    sketched = occurrences.groupBy("line").agg(
-        F.hll_sketch_estimate(F.hll_sketch_agg("site", lg_k)).alias("n_sites"),
-        F.hll_sketch_estimate(F.hll_sketch_agg("words", lg_k)).alias("n_words"),
-    )
+    counted = ["site", "words"] if distinct_texts else ["site"]
+    sketches = [F.hll_sketch_estimate(F.hll_sketch_agg(c, lg_k)) for c in counted]
+    estimates = occurrences.groupBy("line").agg((F.least(*sketches) if distinct_texts else sketches[0]).alias("estimate"))
     low, high = sites * (1 - band), sites * (1 + band)
-    spread = F.least("n_sites", "n_words") if distinct_texts else F.col("n_sites")
-    estimates = sketched.select("line", spread.alias("estimate"))
     estimated = stored(estimates.filter(F.col("estimate") >= low), "line-spread")
     sure = estimated.filter(F.col("estimate") > high).select("line")
     # A line near the threshold may still be very frequent: its rows are dealt out by document as well.
@@ -70,13 +66,12 @@ def spread_lines(
 
 
 def without_spread_lines(
-    docs: DataFrame, sites: int = 10, lg_k: int = 10, keep_first: bool = True, distinct_texts: bool = True
+    docs: DataFrame, sites: int = 10, lg_k: int = 10, keep_first: bool = True, distinct_texts: bool = False
 ) -> DataFrame:
     """The documents without their boilerplate lines: the columns and rows of `docs`, `text` changed.
 
-    A line found on at least `sites` sites and in as many different texts is removed, every time it occurs;
-    without `distinct_texts` the sites alone decide, so that pages copied to many sites lose their lines as well;
-    with `keep_first` the document of the smallest id that has it keeps it, so no content leaves the corpus
+    A line found on at least `sites` sites is removed, every time it occurs, in pages copied to many sites as well;
+    with `distinct_texts` it must be in as many different texts too; with `keep_first` the document of the smallest id that has it keeps it, so no content leaves the corpus
     altogether. Blank lines stay. A null text stays null and has no lines; an empty one stays empty; a document
     that consists of such lines alone keeps its row with an empty text; a null source is a site, a null id comes
     last; repeated rows are treated alike. An empty table gives an empty result. An `n_chars` column is set anew.

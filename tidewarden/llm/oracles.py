@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewarden.llm.tokens import STEP
+from tidewarden.llm.tokens import STEP, UNSPACED
 from tidewarden.llm.winnowing import Winnower
 
 OP9 = """
@@ -55,7 +55,9 @@ SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM ranked WHERE rank
 
 OP5 = """
 WITH RECURSIVE split AS (
-  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS words FROM documents),
+  SELECT doc_id, regexp_extract_all(
+    regexp_replace(lower(coalesce(text, '')), '([UNSPACED])', ' \\1 ', 'g'), '[\\p{L}\\p{N}\\p{M}]+') AS words
+  FROM documents),
 texts AS (
   SELECT min(doc_id) AS text_id, count(*) AS n_copies, any_value(words) AS words, list(doc_id) AS ids
   FROM split GROUP BY CASE WHEN len(words) = 0 THEN [CAST(doc_id AS VARCHAR), ''] ELSE words END),
@@ -78,16 +80,16 @@ counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT unnest(t.ids) AS doc_id, least(t.text_id, coalesce(r.b, t.text_id)) AS class_id, t.text_id,
        coalesce(c.n, 0) AS n_links, t.n_copies
 FROM texts t LEFT JOIN least_reached r ON t.text_id = r.a LEFT JOIN counted c ON t.text_id = c.a
-"""
+""".replace("UNSPACED", "".join(f"\\x{{{low:X}}}-\\x{{{high:X}}}" for low, high in UNSPACED))
 
 OP8 = """
 WITH rows AS (SELECT *, row_number() OVER () AS rid FROM documents),
-split AS (SELECT rid, doc_id, source, md5(text) AS words, generate_subscripts(string_split(text, chr(10)), 1) AS place,
+split AS (SELECT rid, doc_id, source, generate_subscripts(string_split(text, chr(10)), 1) AS place,
                  unnest(string_split(text, chr(10))) AS line FROM rows WHERE text IS NOT NULL),
 trimmed AS (SELECT *, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS bare FROM split),
 spread AS (
   SELECT bare, min(doc_id) AS first FROM trimmed WHERE bare <> '' GROUP BY bare
-  HAVING count(DISTINCT coalesce(source, chr(0))) >= 10 AND count(DISTINCT words) >= 10),
+  HAVING count(DISTINCT coalesce(source, chr(0))) >= 10),
 marked AS (
   SELECT t.rid, t.place, t.line, s.bare IS NOT NULL AND t.doc_id <> s.first AS gone
   FROM trimmed t LEFT JOIN spread s ON t.bare = s.bare),
@@ -126,10 +128,11 @@ least_of AS (
 kept AS (
   SELECT DISTINCT id, CAST(x // 4294967296::UHUGEINT AS UBIGINT) AS hash, CAST(4294967295::UHUGEINT - x % 4294967296::UHUGEINT AS BIGINT) AS place
   FROM least_of WHERE i <= greatest(last - {rule.window - 1}, 0)),
+numbered AS (SELECT *, hash::UHUGEINT + 18446744073709551616::UHUGEINT * row_number() OVER (PARTITION BY id, hash ORDER BY place) AS nth FROM kept),
 prints AS (
   SELECT t, coalesce(string_agg(lower(lpad(to_hex(hash), 16, '0')) || ':' || place, ',' ORDER BY place), '') AS said,
-         coalesce(list(DISTINCT hash) FILTER (hash IS NOT NULL), []) AS hashes
-  FROM texts LEFT JOIN kept USING (id) GROUP BY t),
+         coalesce(list(nth) FILTER (nth IS NOT NULL), []) AS hashes
+  FROM texts LEFT JOIN numbered USING (id) GROUP BY t),
 near AS (
   SELECT c.doc_id, c.n_chars, sha256(c.edited) AS edited_sha256, o.said AS fingerprint, e.said AS edited_fingerprint,
          o.hashes AS h, len(list_intersect(o.hashes, e.hashes)) AS be, len(e.hashes) AS ne,
