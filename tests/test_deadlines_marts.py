@@ -168,3 +168,23 @@ def test_staging_drops_unusable_rows(spark):
     kept = staging.stage_incidents(frame).collect()
     assert [r["incident_id"] for r in kept] == ["00000000-0000-4000-8000-000000000000"]
     assert len(kept[0]["incident_sk"]) == 32
+
+
+def test_charts_from_stored_parameters(spark):
+    from tidewarden.operators import charts
+
+    frame = spark.sql(
+        "SELECT * FROM VALUES ('a', timestamp '2026-06-01 10:00:00', 1, 2.0D), ('a', timestamp '2026-06-01 23:00:00', 5, 4.0D), "
+        "('b', timestamp '2026-06-08 00:00:00', 9, NULL), ('b', timestamp '2026-06-09 00:00:00', 0, 1.0D) AS t(k, at, n, x)"
+    )
+    simple = {"expressionType": "SIMPLE", "aggregate": "AVG", "column": {"column_name": "x"}, "label": "mean"}
+    unlabelled = {"expressionType": "SIMPLE", "aggregate": "SUM", "column": {"column_name": "n"}}
+    keep = {"expressionType": "SQL", "sqlExpression": "n > 0 or k = 'z'", "clause": "WHERE"}
+    params = {"x_axis": "at", "time_grain_sqla": "P1W", "groupby": ["k"], "metrics": [unlabelled, simple], "adhoc_filters": [keep, keep]}
+    got = charts.from_params(frame, params)
+    assert got.columns == ["at", "k", "SUM(n)", "mean"]
+    assert sorted((str(r.at)[:10], *r[1:]) for r in got.collect()) == [("2026-06-01", "a", 6, 3.0), ("2026-06-08", "b", 9, None)]
+    assert [tuple(r) for r in charts.from_params(frame, {"x_axis": "k", "metric": unlabelled, "row_limit": 1}).collect()] == [("b", 9)]
+    for odd in ({"order_desc": True}, {"adhoc_filters": [keep | {"clause": "HAVING"}]}, {"adhoc_filters": [keep | {"expressionType": "SIMPLE"}]}):
+        with pytest.raises(ValueError):
+            charts.from_params(frame, {"metrics": [unlabelled]} | odd)

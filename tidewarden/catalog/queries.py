@@ -19,7 +19,8 @@ from tidewarden.functions.session import prepare, scratch_dir
 from tidewarden.operators import audit as auditing
 from tidewarden.operators import charts, classify, deadlines, incremental, marts, quality, staging, summary
 from tidewarden.operators.enrich import enrich
-from tidewarden.plans.scheduled import RunPaths, read_run_log, run_scheduled
+from tidewarden.plans import rolling
+from tidewarden.plans.scheduled import RunPaths, load_new, read_run_log, run_scheduled
 from tidewarden.sources import events as event_json
 from tidewarden.sources import external, tables
 from tidewarden.sources.vendors import load_vendors
@@ -244,6 +245,37 @@ def chart_top_vendors(spark, sf_dir):
     return charts.vendor_concentration(marts.vendor_risk(derived(spark, sf_dir), given.as_of()), limit=20)
 
 
+def stored_metric(aggregate: str, column: str) -> dict:
+    return {"expressionType": "SIMPLE", "aggregate": aggregate, "column": {"column_name": column}}
+
+
+TIMELINE_PARAMS = {
+    "viz_type": "line",
+    "x_axis": "detection_timestamp",
+    "time_grain_sqla": "P1D",
+    "metrics": [{"expressionType": "SQL", "sqlExpression": "count(*)", "label": "breach_count"}, stored_metric("MAX", "notify_deadline_hours")],
+    "groupby": ["severity"],
+    "adhoc_filters": [{"expressionType": "SQL", "sqlExpression": "sla_breached = true", "clause": "WHERE"}],
+    "row_limit": 10_000,
+}
+CONCENTRATION_PARAMS = {
+    "viz_type": "treemap",
+    "metric": stored_metric("SUM", "institutions_exposed"),
+    "groupby": ["concentration_risk_tier", "ict_third_party_provider"],
+    "row_limit": 30,
+}
+
+
+@query
+def chart_timeline_params(spark, sf_dir):
+    return charts.from_params(marts.breach_register(derived(spark, sf_dir)), TIMELINE_PARAMS)
+
+
+@query
+def chart_concentration_params(spark, sf_dir):
+    return charts.from_params(marts.vendor_risk(derived(spark, sf_dir), given.as_of()), CONCENTRATION_PARAMS)
+
+
 @query
 def adhoc_metric(spark, sf_dir):
     return charts.metric(
@@ -506,6 +538,36 @@ def scheduled_tables(spark, sf_dir):
     )
 
 
+# Marts from parts
+
+
+def rolled_up(spark, sf_dir):
+    """The parts of three loads, the first two folded into one, and of a load without newer rows."""
+    source = given.classified(spark, sf_dir).select(*schemas.columns(schemas.CLASSIFIED))
+    paths = RunPaths(scratch_dir(spark, "rolled"))
+    for until in ("2024-01-08 12:00:00", given.LOAD_UNTIL, given.AS_OF, given.AS_OF):
+        load_new(spark, source.filter(F.col("incident_ts") <= F.lit(until).cast("timestamp")), paths.landed)
+        rolling.advance(spark, tables.read_rows(spark, paths.landed, "incidents_classified"), paths.parts)
+        if until == given.LOAD_UNTIL:
+            rolling.fold_parts(spark, paths.parts)
+    return rolling.rolled_marts(spark, paths.parts, staged_vendors(spark, sf_dir), given.as_of())
+
+
+@query
+def rolled_report(spark, sf_dir):
+    return rolled_up(spark, sf_dir)["regulatory_report"]
+
+
+@query
+def rolled_vendor_risk(spark, sf_dir):
+    return rolled_up(spark, sf_dir)["vendor_risk"]
+
+
+@query
+def rolled_breaches(spark, sf_dir):
+    return rolled_up(spark, sf_dir)["breach_register"]
+
+
 # Event JSON
 
 

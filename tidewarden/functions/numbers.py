@@ -31,15 +31,31 @@ def hour_hundredths(start: Column, end: Column) -> Column:
 def mean_2dp(value: Column, unit_digits: int = 6) -> Column:
     """Aggregate: mean to two places, summed exactly. Non-finite input gives the plain mean."""
     units = to_units(value, unit_digits)
-    seen = F.count(value)
     # A bigint sum could overflow on a hot group, so the buffer is a decimal(30,0).
     total = F.sum(units.cast("decimal(20,0)"))
+    return _mean(F.count(value), F.count(units), total, F.avg(value), unit_digits)
+
+
+def _mean(seen: Column, exact: Column, total: Column, plain: Column, unit_digits: int) -> Column:
     hundredths = half_up_div(total, seen * F.lit(10 ** (unit_digits - 2)))
-    return (
-        F.when(seen == 0, F.lit(None).cast("double"))
-        .when(F.count(units) == seen, from_hundredths(hundredths))
-        .otherwise(F.avg(value))
-    )
+    return F.when(seen == 0, F.lit(None).cast("double")).when(exact == seen, from_hundredths(hundredths)).otherwise(plain)
+
+
+def mean_parts(value: Column, name: str, unit_digits: int = 6) -> list[Column]:
+    """Aggregates from which `mean_of_parts` makes the mean of `mean_2dp`; those of several parts are added up."""
+    units = to_units(value, unit_digits)
+    return [
+        F.count(value).alias(f"{name}_seen"),
+        F.count(units).alias(f"{name}_exact"),
+        F.coalesce(F.sum(units.cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)").alias(f"{name}_units"),
+        F.coalesce(F.sum(value), F.lit(0.0)).alias(f"{name}_plain"),
+    ]
+
+
+def mean_of_parts(name: str, unit_digits: int = 6) -> Column:
+    """Aggregate: the mean of all parts."""
+    seen, exact, units, plain = (F.sum(f"{name}_{part}") for part in ("seen", "exact", "units", "plain"))
+    return _mean(seen, exact, units, F.try_divide(plain, seen), unit_digits)
 
 
 def percent_2dp(part: Column, whole: Column) -> Column:

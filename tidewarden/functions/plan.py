@@ -19,6 +19,16 @@ def computed_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     return df.select(*kept, F.inline(F.array(made)))
 
 
+def over_all_cores(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan to all cores if it has fewer parts than that, as an unsplittable file has; else as it is.
+
+    The frame must be a scan with projections and filters: its partitions are counted without running it. A large
+    table has more parts than there are cores and is never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def pinned(column: Column) -> Column:
     """The same value, which Spark will not copy into a filter above the projection.
 

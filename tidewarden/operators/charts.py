@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewarden.functions.numbers import mean_of_hundredths
 
-AGGREGATES = {
+AGGREGATES: dict[str, Callable[[str], Column]] = {
     "avg": F.avg,
     "sum": F.sum,
     "min": F.min,
@@ -50,6 +50,54 @@ def metric(
     return result.orderBy(*order).limit(limit)
 
 
+# Public names of time grains, as a dashboard stores them.
+GRAINS = {
+    "PT1S": "second",
+    "PT1M": "minute",
+    "PT1H": "hour",
+    "P1D": "day",
+    "P1W": "week",
+    "P1M": "month",
+    "P3M": "quarter",
+    "P1Y": "year",
+}
+# What a chart's parameters may say about its data, and what they say about its looks alone.
+DATA_KEYS = frozenset({"metric", "metrics", "groupby", "x_axis", "time_grain_sqla", "adhoc_filters", "row_limit"})
+LOOKS_KEYS = frozenset({"datasource", "viz_type", "stack", "slice_id", "dashboards", "color_scheme", "show_legend"})
+
+
+def _spec(given: Mapping) -> tuple[str, tuple[str, str] | str]:
+    """(label, metric) of a stored metric: an aggregate of a column, or a SQL expression with its label."""
+    if given["expressionType"] == "SQL":
+        return given.get("label") or given["sqlExpression"], given["sqlExpression"]
+    kind, column = given["aggregate"], given["column"]["column_name"]
+    return given.get("label") or f"{kind}({column})", (kind, column)
+
+
+def _condition(given: Mapping) -> str:
+    if given["expressionType"] != "SQL" or given.get("clause", "WHERE") != "WHERE":
+        raise ValueError("only SQL filters on rows are supported")
+    return f"({given['sqlExpression']})"
+
+
+def from_params(df: DataFrame, params: Mapping) -> DataFrame:
+    """The rows behind a chart, from the parameters a dashboard stores for it.
+
+    Groups are the x axis, cut to the time grain if there is one, and the `groupby` columns. `row_limit` keeps the rows
+    with the largest first metric. A parameter that is not supported is an error: the chart would show something else.
+    """
+    unknown = sorted(set(params) - DATA_KEYS - LOOKS_KEYS)
+    if unknown:
+        raise ValueError(f"not supported in a chart: {', '.join(unknown)}")
+    dims: list[str | Column] = list(params.get("groupby", []))
+    axis, grain = params.get("x_axis"), params.get("time_grain_sqla")
+    if axis is not None:
+        dims.insert(0, axis if grain is None else F.date_trunc(GRAINS[grain], axis).alias(axis))
+    stored = list(params.get("metrics", [])) + ([params["metric"]] if "metric" in params else [])
+    where = " AND ".join(map(_condition, params.get("adhoc_filters", []))) or None
+    return metric(df, dims, dict(map(_spec, stored)), where, params.get("row_limit"))
+
+
 def compliance_by_institution(report: DataFrame, limit: int | None = None) -> DataFrame:
     return metric(
         report,

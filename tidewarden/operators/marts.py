@@ -25,6 +25,11 @@ def regulatory_report(derived: DataFrame) -> DataFrame:
         mean_2dp(F.col("containment_hours"), unit_digits=2).alias("avg_time_to_contain_hours"),
         F.count_if(F.col("is_within_deadline")).alias("within_deadline"),
     )
+    return with_compliance(totals)
+
+
+def with_compliance(totals: DataFrame) -> DataFrame:
+    """Rate and status of each row from `within_deadline`, which is dropped, and `incidents_reported`."""
     rate = F.col("compliance_rate_pct")
     # The status is read off the rounded rate; a month with nothing to report is compliant.
     status = (
@@ -59,6 +64,11 @@ def vendor_risk(derived: DataFrame, as_of: Column) -> DataFrame:
             F.countDistinct("institution_id").alias("institutions_exposed"),
         )
     )
+    return with_concentration(by_provider)
+
+
+def with_concentration(by_provider: DataFrame) -> DataFrame:
+    """The concentration tier of each provider."""
     exposed = F.col("institutions_exposed")
     tier = (
         F.when((exposed >= HIGH_EXPOSURE_FROM) | F.col("designated_critical"), "HIGH")

@@ -13,6 +13,7 @@ from tidewarden import schemas
 from tidewarden.functions.session import path_exists
 from tidewarden.operators import incremental, marts, quality, staging
 from tidewarden.operators.deadlines import derive
+from tidewarden.plans import rolling
 from tidewarden.sources import tables
 
 TABLE = "incidents_classified"
@@ -35,6 +36,10 @@ class RunPaths:
     def log(self, name: str) -> str:
         return f"{self.root}/logs/{name}"
 
+    @property
+    def parts(self) -> str:
+        return f"{self.root}/parts"
+
 
 @dataclass(frozen=True)
 class RunResult:
@@ -73,6 +78,8 @@ def run_scheduled(
     suite: list[quality.Check] = quality.INCIDENT_SUITE,
     database: str | None = None,
     clock: Callable[[], datetime] = now,
+    rolled: bool = False,
+    fold_at: int = 96,
 ) -> RunResult:
     """Run the chain for a time given as UTC text. A failed check stops it before any mart is built.
 
@@ -82,6 +89,10 @@ def run_scheduled(
     The shared layer is a plan, not a table: it is a projection with one broadcast join, so each mart
     scans only the columns it needs instead of all of them being written and read back. Staging and
     the shared layer become views and the marts tables, each with a temporary view for SQL.
+
+    With `rolled` the marts are made from parts: only the rows of this load are aggregated, and added to what earlier
+    runs have left, see `plans.rolling`; the parts are folded together once they are `fold_at` folders. The breach
+    register is then a view, a table only in a `database`: nothing of it is written again. Vendor names must be unique.
     """
     started = started or clock()
     if database is not None:
@@ -96,9 +107,22 @@ def run_scheduled(
     at = F.lit(as_of).cast("timestamp")
     staged, names = staging.stage_incidents(landed), staging.stage_vendors(vendors)
     derived = derive(staged, names, at)
-    report = tables.materialise(marts.regulatory_report(derived), paths.mart("regulatory_report"), table_name("regulatory_report"))
-    risk = tables.materialise(marts.vendor_risk(derived, at), paths.mart("vendor_risk"), table_name("vendor_risk"))
-    breaches = tables.materialise(marts.breach_register(derived), paths.mart("breach_register"), table_name("breach_register"))
+    if rolled:
+        rolling.advance(spark, landed, paths.parts)
+        rolling.fold_parts(spark, paths.parts, fold_at)
+    made = (
+        rolling.rolled_marts(spark, paths.parts, names, at)
+        if rolled and rolling.spans(spark, paths.parts)
+        else {
+            "regulatory_report": marts.regulatory_report(derived),
+            "vendor_risk": marts.vendor_risk(derived, at),
+            "breach_register": marts.breach_register(derived),
+        }
+    )
+    report, risk, breaches = (
+        frame if rolled and database is None and name == "breach_register" else tables.materialise(frame, paths.mart(name), table_name(name))
+        for name, frame in made.items()
+    )
     alerts = tables.materialise(marts.compliance_alerts(report), paths.log(f"alerts/run_id={run_id}"))
 
     views = {
