@@ -66,6 +66,14 @@ def test_partitions_are_pruned(spark, tmp_path):
     assert "financial_impact_eur" not in few.split("ReadSchema")[1]
 
 
+def test_newest_day_comes_from_the_folders(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert tables.newest_day(spark, path, "incidents_classified") is None
+    for name in ("incident_day=2026-06-09", "incident_day=2026-06-10", "incident_day=__HIVE_DEFAULT_PARTITION__", "_SUCCESS"):
+        (tmp_path / "t" / name).mkdir(parents=True)
+    assert tables.newest_day(spark, path, "incidents_classified") == "2026-06-10"
+
+
 def test_missing_path(spark, tmp_path):
     assert not path_exists(spark, str(tmp_path / "none"))
 

@@ -29,8 +29,10 @@ SEVERITY_LABELS = {
 }
 UNKNOWN_LABEL = "Unknown severity"
 
-# Vendor names that count as hyperscalers, and the status and tier bounds of the marts.
+# Vendor names that count as hyperscalers in staging and in enriched messages, which know one name less,
+# and the status and tier bounds of the marts.
 HYPERSCALERS = ("AWS", "Azure", "GCP", "Google Cloud")
+ENRICHED_HYPERSCALERS = ("AWS", "Azure", "GCP")
 COMPLIANT_FROM_PCT = 95
 AT_RISK_FROM_PCT = 80
 HIGH_EXPOSURE_FROM = 5

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewarden.config import HYPERSCALERS, SEVERITY_LABELS, UNKNOWN_LABEL
+from tidewarden.config import ENRICHED_HYPERSCALERS, SEVERITY_LABELS, UNKNOWN_LABEL
 from tidewarden.operators.lookup import BROADCAST_BYTES, left_lookup
 
 EDGE_SPACE = r"(?U)^\s+|\s+$"
@@ -20,7 +20,7 @@ def severity_label(tier):
 def enrich(
     df: DataFrame,
     vendors: DataFrame,
-    hyperscalers: tuple[str, ...] = HYPERSCALERS,
+    hyperscalers: tuple[str, ...] = ENRICHED_HYPERSCALERS,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add `severity_label`, `vendor_known` and the vendor's attributes, null when it is unknown.

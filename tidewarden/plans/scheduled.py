@@ -54,7 +54,11 @@ class RunResult:
 def load_new(spark: SparkSession, source: DataFrame, path: str) -> int:
     """Append the source rows newer than the landed table; the first load writes them all."""
     landed = tables.read_rows(spark, path, TABLE) if path_exists(spark, path) else None
-    mark = incremental.watermark(landed, "incident_ts", DAY)
+    # The newest folder shows the watermark; a query for the largest day would open every file of the table.
+    newest = tables.newest_day(spark, path, TABLE)
+    mark = None if newest is None else incremental.watermark(landed.filter(F.col(DAY) >= F.lit(newest)), "incident_ts")
+    if mark is None:
+        mark = incremental.watermark(landed, "incident_ts", DAY)
     day = DAY if DAY in source.columns else None
     new = incremental.newer_than(source, mark, "incident_ts", day)
     # A target that exists but holds no row has no watermark and is replaced, as on the first load.

@@ -130,6 +130,19 @@ def read_rows(
     return rows
 
 
+def newest_day(spark: SparkSession, path: str, table: str) -> str | None:
+    """The largest day among the folders of a table, by one listing and without reading a file; None without any."""
+    prefix = f"{LAYOUT[table][1][0]}="
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not file_system.exists(hadoop_path):
+        return None
+    names = (status.getPath().getName() for status in file_system.listStatus(hadoop_path))
+    days = [name.removeprefix(prefix) for name in names if name.startswith(prefix)]
+    # Rows without a time lie in a folder whose name is no day.
+    return max((day for day in days if day[:1].isdigit()), default=None)
+
+
 def materialise(df: DataFrame, path: str, name: str | None = None) -> DataFrame:
     """Write a mart and read it back: later readers share one computation.
 
