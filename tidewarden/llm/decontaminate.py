@@ -170,9 +170,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, name: str, rule: Rule | None
 
     An item is found in a text where, on one alignment, a segment of at least `least_words` words (or the whole item,
     if it is shorter) agrees in `identity` of them; the longest on any alignment is told, `start` counts words from 0.
-    Words are those of `tokens.words`. Items of fewer than `shortest_item` words are not sought. With the given masks nothing is missed at an
-    identity of 0.8 or more and a `least_words` of 6 or more. A null or empty text has no overlap; null items are left out; of an item id that
-    repeats each text counts.
+    Words are those of `tokens.words`. Items of fewer than `shortest_item` words are not sought. With the given masks
+    nothing is missed at an identity of 0.8 or more and a `least_words` of 6 or more. A null or empty text has no overlap;
+    null items are left out; of an item id that repeats each text counts.
     """
     rule = rule or Rule()
     text = free_name(docs, "text_to_search")

@@ -132,7 +132,10 @@ def recounted(slim: DataFrame, collided: DataFrame, bits: int) -> DataFrame:
 
 
 def _per_term(counts: DataFrame, keys: list[str], least_docs: int) -> DataFrame:
-    """One row for each kept term of a language: n in the language, and `entries` with n of each of its sources."""
+    """One row for each kept term of a language: n in the language, and `entries` with n of each of its sources.
+
+    A list is no longer than the sources of its language, whose pairs are all reported.
+    """
     by_term = counts.groupBy(*keys).agg(
         F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("entries")
     )

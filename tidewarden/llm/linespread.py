@@ -71,10 +71,11 @@ def without_spread_lines(
     """The documents without their boilerplate lines: the columns and rows of `docs`, `text` changed.
 
     A line found on at least `sites` sites is removed, every time it occurs, in pages copied to many sites as well;
-    with `distinct_texts` it must be in as many different texts too; with `keep_first` the document of the smallest id that has it keeps it, so no content leaves the corpus
-    altogether. Blank lines stay. A null text stays null and has no lines; an empty one stays empty; a document
-    that consists of such lines alone keeps its row with an empty text; a null source is a site, a null id comes
-    last; repeated rows are treated alike. An empty table gives an empty result. An `n_chars` column is set anew.
+    with `distinct_texts` it must be in as many different texts too. With `keep_first` the document of the smallest id
+    that has it keeps it, so no content leaves the corpus altogether. Blank lines stay. A null text stays null and has
+    no lines; an empty one stays empty; a document that consists of such lines alone keeps its row with an empty text; a
+    null source is a site, a null id comes last; repeated rows are treated alike. An empty table gives an empty result. An
+    `n_chars` column is set anew.
     """
     occurrences = _occurrences(docs.select("doc_id", "source", "text"))
     spread = stored(spread_lines(occurrences, sites, lg_k, distinct_texts=distinct_texts), "spread-lines")
