@@ -128,7 +128,7 @@ least_of AS (
 kept AS (
   SELECT DISTINCT id, CAST(x // 4294967296::UHUGEINT AS UBIGINT) AS hash, CAST(4294967295::UHUGEINT - x % 4294967296::UHUGEINT AS BIGINT) AS place
   FROM least_of WHERE i <= greatest(last - {rule.window - 1}, 0)),
-numbered AS (SELECT *, hash::UHUGEINT + 18446744073709551616::UHUGEINT * row_number() OVER (PARTITION BY id, hash ORDER BY place) AS nth FROM kept),
+numbered AS (SELECT *, hash::UHUGEINT + 18446744073709551616::UHUGEINT * CAST(row_number() OVER (PARTITION BY id, hash ORDER BY place) AS UHUGEINT) AS nth FROM kept),
 prints AS (
   SELECT t, coalesce(string_agg(lower(lpad(to_hex(hash), 16, '0')) || ':' || place, ',' ORDER BY place), '') AS said,
          coalesce(list(nth) FILTER (nth IS NOT NULL), []) AS hashes
