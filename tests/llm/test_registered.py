@@ -50,6 +50,7 @@ OPERATORS = {
     "without_toxic": lambda s, d: toxicity.without_toxic(d, labels(s)),
     "near_duplicates": lambda s, d: jaccard.near_duplicates(d),
     "one_of_each": lambda s, d: jaccard.one_of_each(d),
+    "joined_overlaps": lambda s, d: decontaminate.overlaps(d.select("doc_id", "text"), benchmark(s), "hits", sent_bytes=-1),
     "contamination": lambda s, d: decontaminate.contamination(d, benchmark(s)),
     "without_contaminated": lambda s, d: decontaminate.without_contaminated(d, benchmark(s)),
     "lines": lambda s, d: linespread.without_spread_lines(d, sites=2),

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import frames
 from tidewarden.llm import htmlblocks, toxicity
@@ -153,16 +154,50 @@ def test_planted_items_are_found_and_nothing_else(spark):
     assert all((r.n_items, r.longest > 0) == (len(r.item_ids), r.contaminated) for r in out)
 
 
-def test_small_blocks_of_items_find_the_same(spark):
+def test_a_benchmark_too_large_to_send_finds_the_same(spark):
     rows, items, truth = planted(3)
     docs, bench = frames.documents(spark, rows), spark.createDataFrame(items, ITEMS)
     kept = without_contaminated(docs, bench)
     assert {r.doc_id for r in kept.collect()} == {i for i, *_ in rows} - set(truth)
 
-    found = overlaps(docs, bench, "hits", block_words=300).collect()
+    found = overlaps(docs, bench, "hits", sent_bytes=300).collect()
     assert {r.doc_id: {h.item_id for h in r.hits} for r in found if r.hits} == truth
 
 
+@pytest.mark.parametrize("pack_bytes", [1, 500, 1 << 20])
+def test_joined_overlaps_equal_those_of_sent_items(spark, pack_bytes):
+    """Odd rows and columns, repeated rows, an item id with two texts, null items, a word that all texts and items share."""
+    rows, items, _ = planted(5)
+    often = "ban " * 14
+    rows = [(i, f"{t} {often}" if i % 4 == 0 else t, x, s) for i, t, x, s in rows if t] + rows[:30] + frames.odd_rows()
+    items = [*items, (3, items[4][1]), (7, f"{often}{items[8][1]}"), (8, items[8][1]), (8, items[8][1]), (None, items[1][1]), (9, None), (9, "")]
+    docs = frames.clashing(frames.documents(spark, rows)).withColumnRenamed("hits", "row_to_search").repartition(3)
+    bench = spark.createDataFrame(items, ITEMS)
+    told = lambda df: sorted(((tuple(r)[:-1], sorted(map(tuple, r.found))) for r in df.collect()), key=repr)
+    sent = told(overlaps(docs, bench, "found"))
+    joined = overlaps(docs, bench, "found", sent_bytes=0, pack_bytes=pack_bytes)
+    assert joined.columns == [*docs.columns, "found"]
+    assert told(joined) == sent
+    assert len(sent) == len(rows) and sum(len(found) > 0 for _, found in sent) > 100
+    none = overlaps(docs.limit(0), bench, "found", sent_bytes=0)
+    assert none.count() == 0 and none.columns == joined.columns
+    nothing = spark.createDataFrame([(1, "")], ITEMS)
+    assert overlaps(docs, nothing, "found", sent_bytes=-1).filter("size(found) > 0").count() == 0
+
+
+@pytest.mark.parametrize("n", [5, 6, 13, 15])
+def test_joined_overlaps_find_replaced_words_at_every_place(spark, n):
+    item = [f"w{k}" for k in range(n)]
+    texts = [
+        " ".join(["before", *("other" if k in places else word for k, word in enumerate(item)), "behind"])
+        for replaced in range(1, n // 5 + 1)
+        for places in itertools.combinations(range(n), replaced)
+    ]
+    docs = frames.documents(spark, [(i, text, "en", "a") for i, text in enumerate(texts)])
+    found = overlaps(docs, spark.createDataFrame([(7, " ".join(item)), (8, "quite another text of words")], ITEMS), "hits", sent_bytes=0)
+    assert [r.n for r in found.select(F.size("hits").alias("n")).collect()] == [1] * len(texts)
+
+
 def test_a_common_passage_repeated_in_one_text(spark):
     item = "ban ban ban ban ban ban ban ban ban ban ban ban ban ban ban ban"
     docs = frames.documents(spark, [(1, "ban " * 20_000, "en", "a"), (2, "ban " * 12, "en", "a")])

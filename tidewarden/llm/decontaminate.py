@@ -8,8 +8,9 @@ of the segments that are long enough counts if it is nearly equal.
 The seeds lose nothing at an identity of 0.8: segments without four equal words in a row have three unequal words at
 most, so at most 15 words, and the other masks cover these.
 
-The test items come in blocks of a bounded number of words, each sent to the tasks as a whole; every block is one
-more step in the same pass over the documents, without a shuffle.
+Test items of a bounded number of words in all are sent to the tasks as a whole, and the documents are not shuffled. A
+larger benchmark stays distributed: its seeds meet those of the documents in a join, each document then meets the items
+with which it shares a seed, and the overlaps are searched among these alone.
 """
 
 from __future__ import annotations
@@ -20,11 +21,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewarden.llm.frames import free_name, whole_text
+from tidewarden.llm.frames import free_name, stored, whole_text
+from tidewarden.llm.jaccard import bitmap_of, marked
 from tidewarden.llm.tokens import STEP, chunks, mixed, words
 
 # 1: the word counts, 0: any word may stand there.
@@ -52,6 +54,10 @@ class Rule:
     identity: float = 0.8
     shortest_item: int = 5
 
+    def all_masks(self) -> list[str]:
+        """Items too short for the masks are looked for as they are."""
+        return [*self.masks, *self.short_masks, *("1" * n for n in range(self.shortest_item, min(map(len, self.masks))))]
+
 
 def _seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
     """One hash per window, beginning at every word that has enough words after it."""
@@ -65,31 +71,35 @@ def _seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
     return mixed(out)
 
 
+def _item_seeds(hashes: np.ndarray, bounds: np.ndarray, rule: Rule) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
+    """(mask, seeds, first word of each, item of each) of the windows in which items are looked for."""
+    lengths = np.diff(bounds)
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    for mask in rule.all_masks():
+        seeds = _seeds(hashes, mask)
+        at = np.arange(len(seeds))
+        inside = owner[at] == owner[at + len(mask) - 1]
+        own_length = lengths[owner[at]]
+        inside &= (own_length >= max(rule.shortest_item, len(mask))) if mask in rule.masks else (own_length == len(mask))
+        yield mask, seeds[inside], at[inside], owner[at[inside]]
+
+
 class Index:
-    """The seeds of one block of test items."""
+    """The seeds of some test items."""
 
     def __init__(self, ids: list[int], texts: pa.Array, rule: Rule):
         self.rule, self.ids = rule, ids
         self.hashes, self.bounds, *_ = words(texts)
         lengths = np.diff(self.bounds)
         self.need = np.minimum(lengths, rule.least_words)
-        # Items too short for the masks are looked for as they are.
-        short = sorted({int(n) for n in lengths if rule.shortest_item <= n < min(map(len, rule.masks))})
         self.tables: list[tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-        owner = np.repeat(np.arange(len(ids)), lengths)
-        for mask in (*rule.masks, *rule.short_masks, *["1" * n for n in short]):
-            seeds = _seeds(self.hashes, mask)
-            at = np.arange(len(seeds))
-            inside = owner[at] == owner[at + len(mask) - 1]
-            own_length = lengths[owner[at]]
-            inside &= (own_length >= max(rule.shortest_item, len(mask))) if mask in rule.masks else (own_length == len(mask))
-            seeds, at = seeds[inside], at[inside]
+        for mask, seeds, at, owner in _item_seeds(self.hashes, self.bounds, rule):
             order = np.argsort(seeds, kind="stable")
             bits = 1 << max(10, math.ceil(math.log2(16 * len(seeds) + 1)))
             seen = np.zeros(bits, dtype=bool)
             seen[(seeds & np.uint64(bits - 1)).astype(np.int64)] = True
             if len(seeds):
-                self.tables.append((mask, seeds[order], at[order], owner[at[order]], seen))
+                self.tables.append((mask, seeds[order], at[order], owner[order], seen))
 
     def found(self, hashes: np.ndarray, bounds: np.ndarray) -> dict[int, list[tuple[int, int, int, int]]]:
         """For each text with an overlap, by place: (item id, first word, words, equal words), the longest of each item."""
@@ -152,47 +162,129 @@ class Index:
         return [found[1:] for found in sorted(out)]
 
 
-def _blocks(benchmark: DataFrame, block_words: int) -> list[tuple[list[int], pa.Array]]:
-    """The test items in blocks of about `block_words` words; one block at a time is held by the driver."""
-    items = benchmark.filter("item_id is not null and text is not null").select(
-        F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
-    )
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n_blocks = max(1, math.ceil(total / (5 * block_words)))
-    for block in range(n_blocks):
-        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block).toArrow().sort_by("item_id")
-        column = rows.column("text").cast(pa.large_string()).combine_chunks()
-        yield rows.column("item_id").to_pylist(), column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+def _size(text: Column) -> Column:
+    """The bytes of a text; a word has five and more, in scripts without blanks about three."""
+    return F.octet_length(text)
+
+
+def _sent(rows: DataFrame, items: DataFrame, text: str, name: str, rule: Rule) -> DataFrame:
+    """`rows` with the overlaps, found in the tasks that read them: all items are sent to each."""
+    bench = items.toArrow().sort_by("item_id")
+    column = bench.column("text").cast(pa.large_string()).combine_chunks()
+    texts = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+    sent = rows.sparkSession.sparkContext.broadcast((bench.column("item_id").to_pylist(), texts))
+    out = rows.select("*", F.array().cast(T.ArrayType(HIT)).alias(name))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = Index(*sent.value, rule)
+        for batch in batches:
+            *kept, before = batch.columns
+            texts = batch.column(text)
+            hits = before.to_pylist()
+            for low, high in chunks(texts):
+                values, bounds, *_ = words(texts.slice(low, high - low))
+                for place, found in index.found(values, bounds).items():
+                    hits[low + place] = [dict(zip(HIT.names, x, strict=True)) for x in found]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(hits, before.type)], names=batch.schema.names)
+
+    return out.mapInArrow(search, out.schema)
+
+
+def _seeds_of_items(items: DataFrame, rule: Rule) -> DataFrame:
+    """(item, seed), each once, of rows (item, item_id, text)."""
+
+    def seeds_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high in chunks(batch.column(1)):
+                values, bounds, *_ = words(batch.column(1).slice(low, high - low))
+                for _, seeds, _, owner in _item_seeds(values, bounds, rule):
+                    item = batch.column(0).take(pa.array(low + owner))
+                    yield pa.RecordBatch.from_arrays([item, pa.array(seeds.view(np.int64))], names=["item", "seed"])
+
+    return items.select("item", "text").mapInArrow(seeds_of, "item long, seed long").distinct()
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, name: str, rule: Rule | None = None, block_words: int = 2_000_000) -> DataFrame:
+def _seeds_of_docs(texts: DataFrame, bitmap: np.ndarray, rule: Rule) -> DataFrame:
+    """(row, seed), each once, of rows (row, text), of the seeds that the bitmap marks."""
+    sent = texts.sparkSession.sparkContext.broadcast(bitmap)
+
+    def seeds_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high in chunks(batch.column(1)):
+                values, bounds, *_ = words(batch.column(1).slice(low, high - low))
+                owner = np.repeat(np.arange(high - low), np.diff(bounds))
+                for mask in rule.all_masks():
+                    seeds = _seeds(values, mask).view(np.int64)
+                    at = np.flatnonzero(marked(sent.value, seeds))
+                    at = at[owner[at] == owner[at + len(mask) - 1]]
+                    once = np.unique(np.stack([owner[at], seeds[at]], axis=1), axis=0)
+                    row = batch.column(0).take(pa.array(low + once[:, 0]))
+                    yield pa.RecordBatch.from_arrays([row, pa.array(once[:, 1])], names=["row", "seed"])
+
+    return texts.mapInArrow(seeds_of, "row long, seed long")
+
+
+def _joined(rows: DataFrame, items: DataFrame, text: str, name: str, rule: Rule, pack_bytes: int) -> DataFrame:
+    """`rows` with the overlaps, however many items there are: nothing of the benchmark but a bitmap passes the driver.
+
+    The items that share a seed with a document are dealt to packs of about `pack_bytes`, and the document is searched
+    for one pack at a time. A seed that is frequent on both sides makes a candidate of each document and item that have it.
+    """
+    row = free_name(rows, "row_to_search")
+    rows = stored(rows.withColumn(row, F.monotonically_increasing_id()), "decontaminate-docs")
+    items = stored(items.withColumn("item", F.monotonically_increasing_id()), "decontaminate-items")
+    item_seeds = stored(_seeds_of_items(items, rule), "decontaminate-seeds")
+    texts = rows.select(F.col(row).alias("row"), F.col(text).alias("text"))
+    doc_seeds = _seeds_of_docs(texts, bitmap_of(item_seeds.select("seed").distinct(), "seed"), rule)
+    candidates = doc_seeds.join(item_seeds, "seed").select("row", "item").distinct().join(items, "item")
+    before = Window.partitionBy("row").orderBy("item").rowsBetween(Window.unboundedPreceding, -1)
+    pack = F.floor(F.coalesce(F.sum(_size(F.col("text"))).over(before), F.lit(0)) / pack_bytes)
+    packs = candidates.withColumn("pack", pack).groupBy("row", "pack").agg(F.collect_list(F.struct("item_id", "text")).alias("items"))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, hits = [], []
+            for k in range(len(batch)):
+                bench = batch.column(2).slice(k, 1).flatten()
+                index = Index(bench.field("item_id").to_pylist(), bench.field("text").cast(pa.large_string()), rule)
+                values, bounds, *_ = words(batch.column(1).slice(k, 1))
+                for found in index.found(values, bounds).values():
+                    at.append(k)
+                    hits.append([dict(zip(HIT.names, x, strict=True)) for x in found])
+            kind = pa.list_(pa.struct([(field, pa.int64()) for field in HIT.names]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(hits, kind)], names=["row", "hits"])
+
+    shape = T.StructType([T.StructField("row", T.LongType()), T.StructField("hits", T.ArrayType(HIT))])
+    searched = texts.join(packs, "row").select("row", "text", "items").mapInArrow(search, shape)
+    hits = searched.groupBy("row").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"))
+    # Its size is known once it is stored: few hits are broadcast, many are joined.
+    hits = stored(hits, "decontaminate-hits").select(F.col("row").alias(row), F.col("hits").alias(name))
+    none = F.array().cast(T.ArrayType(HIT))
+    kept = [c for c in rows.columns if c != row]
+    return rows.join(hits, row, "left").select(*kept, F.coalesce(F.col(name), none).alias(name))
+
+
+def overlaps(
+    docs: DataFrame, benchmark: DataFrame, name: str, rule: Rule | None = None, sent_bytes: int = 10_000_000, pack_bytes: int = 20_000
+) -> DataFrame:
     """The rows and columns of `docs` with `name`: an array of (item_id, start, words, equal), one for each item found.
 
     An item is found in a text where, on one alignment, a segment of at least `least_words` words (or the whole item,
     if it is shorter) agrees in `identity` of them; the longest on any alignment is told, `start` counts words from 0.
     Words are those of `tokens.words`. Items of fewer than `shortest_item` words are not sought. With the given masks
     nothing is missed at an identity of 0.8 or more and a `least_words` of 6 or more. A null or empty text has no overlap;
-    null items are left out; of an item id that repeats each text counts.
+    null items are left out; of an item id that repeats each text counts. The items are measured first: up to `sent_bytes`
+    (some two million words) are sent to the tasks, more are joined.
     """
     rule = rule or Rule()
     text = free_name(docs, "text_to_search")
-    out = docs.select("*", F.array().cast(T.ArrayType(HIT)).alias(name), whole_text(F.col("text")).alias(text))
-    for ids, texts in _blocks(benchmark, block_words):
-        sent = docs.sparkSession.sparkContext.broadcast((ids, texts))
-
-        def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            index = Index(*sent.value, rule)
-            for batch in batches:
-                *kept, before, texts = batch.columns
-                hits = before.to_pylist()
-                for low, high in chunks(texts):
-                    values, bounds, *_ = words(texts.slice(low, high - low))
-                    for place, found in index.found(values, bounds).items():
-                        hits[low + place] = hits[low + place] + [dict(zip(HIT.names, x, strict=True)) for x in found]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(hits, before.type), texts], names=batch.schema.names)
-
-        out = out.mapInArrow(search, out.schema)
-    return out.drop(text)
+    items = benchmark.filter("item_id is not null and text is not null").select(
+        F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
+    )
+    rows = docs.select("*", whole_text(F.col("text")).alias(text))
+    if (items.agg(F.sum(_size(F.col("text")))).first()[0] or 0) <= sent_bytes:
+        return _sent(rows, items, text, name, rule).drop(text)
+    return _joined(rows, items, text, name, rule, pack_bytes).drop(text)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, rule: Rule | None = None) -> DataFrame:

@@ -163,11 +163,8 @@ def _followed(hooks: DataFrame, purpose: str, most_rounds: int = 64) -> DataFram
     raise RuntimeError(f"chains are longer than 2 ** {most_rounds}")
 
 
-def possible(rows: DataFrame, wanted: DataFrame, key: str, most_bits: int = 1 << 28) -> DataFrame:
-    """The rows whose `key` may be among the keys of `wanted`, which are distinct: none is lost, some others stay.
-
-    The filter is a bitmap of 16 bits a wanted key, `most_bits` (32 MB) at most; past that more rows stay.
-    """
+def bitmap_of(wanted: DataFrame, key: str, most_bits: int = 1 << 28) -> np.ndarray:
+    """Bits of the distinct keys of `wanted`, see `marked`: 16 bits a key, `most_bits` (32 MB) at most."""
     bits = 1 << 15
     while bits < min(most_bits, 16 * wanted.count()):
         bits *= 2
@@ -177,13 +174,26 @@ def possible(rows: DataFrame, wanted: DataFrame, key: str, most_bits: int = 1 <<
     for part in parts.agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("set")).collect():
         low = (part.part - 1) << 12
         bitmap[low : low + (1 << 12)] = np.frombuffer(part.set, dtype=np.uint8)
-    sent = rows.sparkSession.sparkContext.broadcast(bitmap)
+    return bitmap
+
+
+def marked(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each key may be among those of the bitmap."""
+    at = keys & (8 * len(bitmap) - 1)
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def possible(rows: DataFrame, wanted: DataFrame, key: str, most_bits: int = 1 << 28) -> DataFrame:
+    """The rows whose `key` may be among the keys of `wanted`, which are distinct: none is lost, some others stay.
+
+    Beyond the keys that `most_bits` is enough for more rows stay.
+    """
+    sent = rows.sparkSession.sparkContext.broadcast(bitmap_of(wanted, key, most_bits))
     column = rows.columns.index(key)
 
     def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(column).to_numpy() & (bits - 1)
-            yield batch.filter(pa.array((sent.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+            yield batch.filter(pa.array(marked(sent.value, batch.column(column).to_numpy())))
 
     return rows.mapInArrow(passed, rows.schema)
 
