@@ -164,6 +164,14 @@ def test_canonical_json_text(spark):
     assert [r["j"] for r in rows.collect()] == [json.dumps(TEXTS), "[]"]
 
 
+def test_escapes_take_one_step_a_run_of_plain_text(spark):
+    """Not one step a character: each stated reason has one or two signs beyond ASCII."""
+    text = "—" + "plain " * 200 + "€ 😀\u0001" + "end" * 100
+    df = spark.createDataFrame([(text,)], "t string").select(jsontext.quoted(F.col("t")).alias("j"))
+    assert df.first()["j"] == json.dumps(text)
+    assert "conv(" not in plan_of(df)
+
+
 def as_message(row: dict, names: dict[str, str]) -> dict:
     return {
         names[k]: v.isoformat() if isinstance(v, datetime) else v for k, v in row.items()

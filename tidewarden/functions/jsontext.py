@@ -31,13 +31,16 @@ def _short_escaped(text: Column) -> Column:
 
 
 def _unicode_escaped(text: Column) -> Column:
-    """Replace each remaining UTF-16 unit outside printable ASCII by its \\uXXXX escape."""
-    units = F.regexp_extract_all(F.hex(F.encode(text, "UTF-16BE")), F.lit("(.{4})"), F.lit(1))
+    """Replace each remaining UTF-16 unit outside printable ASCII by its \\uXXXX escape.
+
+    The text is taken apart into runs of printable ASCII, which stay as they are, and single other characters.
+    """
+    pieces = F.regexp_extract_all(text, F.lit(r"[ -~]+|[^ -~]"), F.lit(0))
     spelled = F.transform(
-        units,
-        lambda u: F.when(
-            u.between("0020", "007E"), F.char(F.conv(u, 16, 10).cast("bigint"))
-        ).otherwise(F.concat(F.lit("\\u"), F.lower(u))),
+        pieces,
+        lambda p: F.when((p >= " ") & (p < "\x7f"), p).otherwise(
+            F.regexp_replace(F.lower(F.hex(F.encode(p, "UTF-16BE"))), "(.{4})", r"\\u$1")
+        ),
     )
     return F.array_join(spelled, "")
 

@@ -19,14 +19,18 @@ def computed_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     return df.select(*kept, F.inline(F.array(made)))
 
 
-def over_all_cores(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan to all cores if it has fewer parts than that, as an unsplittable file has; else as it is.
+def over_all_cores(df: DataFrame, rows_per_task: int = 250_000) -> DataFrame:
+    """Deal the rows of a scan evenly to all cores, and to more tasks where one would get over `rows_per_task`.
 
-    The frame must be a scan with projections and filters: its partitions are counted without running it. A large
-    table has more parts than there are cores and is never shuffled for this.
+    The frame must be a scan with projections and filters. Its rows are counted by partition, which of a Parquet file
+    reads the footer only. A file can have many splits and few row groups, so that most splits are empty. A table
+    whose rows lie in enough parts is not shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    parts = df.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    counted = parts.agg(F.sum("n").alias("rows"), F.max("n").alias("largest")).first()
+    tasks = max(cores, -(-(counted["rows"] or 0) // rows_per_task))
+    return df if (counted["largest"] or 0) * tasks <= 2 * (counted["rows"] or 0) else df.repartition(tasks)
 
 
 def pinned(column: Column) -> Column:
