@@ -108,6 +108,26 @@ def test_amended_events_are_kept(spark, tmp_path):
     assert "RocksDB" in spark.conf.get(job.STATE_STORE)
 
 
+def test_large_parts_of_all_tables_come_from_one_pass(spark):
+    hours = [{"incident_ts": DAY + timedelta(days=n % 3), "severity": None if n % 3 == 1 else "major"} for n in range(31)]
+    rows, large = tables.large_parts(incidents(spark, *hours), ("incidents_raw", "incidents_classified"), 10)
+    assert rows == 31
+    assert [(r["incident_day"].day, r["n"]) for r in large["incidents_raw"]] == [(1, 11)]
+    assert [(r["incident_day"].day, r["severity"], r["n"]) for r in large["incidents_classified"]] == [(1, "major", 11)]
+    rows, large = tables.large_parts(incidents(spark, *hours), ("incidents_raw", "incidents_classified"), 9)
+    assert sorted((r["incident_day"].day, r["severity"]) for r in large["incidents_classified"] if r["severity"]) == [(1, "major"), (3, "major")]
+    assert [r["incident_day"].day for r in large["incidents_classified"] if r["severity"] is None] == [2]
+    assert len(large["incidents_raw"]) == 3
+    assert tables.large_parts(incidents(spark, {}).limit(0), ("incidents_raw",), 1) == (0, {"incidents_raw": []})
+
+
+def test_a_batch_keeps_the_text_of_rejected_records_alone(spark, tmp_path):
+    lines = texts(sample(spark, 0, 2)) + ["{bad"]
+    parsed = events.parse(spark.createDataFrame([(t,) for t in lines], "value string"), F.lit(DAY))
+    kept = job._settle(parsed, job.Sinks(str(tmp_path), "q")).select("value").collect()
+    assert sorted(r["value"] or "" for r in kept) == ["", "", "{bad"]
+
+
 def files(root, table):
     return len(list((root / table).rglob("part-*.parquet")))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,15 +52,33 @@ def _spread(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partitions)
 
 
-def dealt(df: DataFrame, partitions: Sequence[str], rows_per_file: int) -> DataFrame:
+def large_parts(df: DataFrame, tables: Sequence[str], rows_per_file: int) -> tuple[int, dict[str, list[Row]]]:
+    """(rows in all, target partitions of more than `rows_per_file` rows by table), from one pass.
+
+    At most one partition of a table per `rows_per_file` rows comes back to the driver.
+    """
+    for table in tables:
+        df = with_partition_days(df, table)
+    names = sorted({name for table in tables for name in LAYOUT[table][1]})
+    # Spark numbers a grouping set by the columns it leaves out, the last column in the lowest bit.
+    level = {t: sum(1 << n for n, name in enumerate(reversed(names)) if name not in LAYOUT[t][1]) for t in tables}
+    total = (1 << len(names)) - 1
+    sets = {LAYOUT[table][1] for table in tables} | {()}
+    counts = df.groupingSets([list(columns) for columns in sets], *names).agg(
+        F.grouping_id().alias("level"), F.count(F.lit(1)).alias("n")
+    )
+    found = counts.filter((F.col("n") > rows_per_file) | (F.col("level") == total)).collect()
+    large = {t: [r for r in found if r["level"] == level[t] and r["n"] > rows_per_file] for t in tables}
+    return sum(r["n"] for r in found if r["level"] == total), large
+
+
+def dealt(df: DataFrame, partitions: Sequence[str], rows_per_file: int, large: Sequence[Row]) -> DataFrame:
     """Group rows by target partition with or without AQE, which is off in the batches of a stateful stream.
 
-    The rows of each partition are counted; one of more than `rows_per_file` is split into as many parts as that
-    asks for. At most one such partition per `rows_per_file` rows of the batch comes back to the driver.
+    Each of the `large` partitions is split into as many parts as `rows_per_file` asks for.
     """
-    counts = df.groupBy(*partitions).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows_per_file)
     part = F.lit(0)
-    for row in counts.collect():
+    for row in large:
         here = F.lit(True)
         for name in partitions:
             here = here & F.col(name).eqNullSafe(F.lit(row[name]))
@@ -68,11 +86,11 @@ def dealt(df: DataFrame, partitions: Sequence[str], rows_per_file: int) -> DataF
     return df.repartition(*partitions, part)
 
 
-def write_dealt(df: DataFrame, path: str, table: str, rows_per_file: int) -> None:
+def write_dealt(df: DataFrame, path: str, table: str, rows_per_file: int, large: Sequence[Row]) -> None:
     """Overwrite a folder in the layout of a table, one file for each target partition and part of it."""
     partitions = LAYOUT[table][1]
     rows = with_partition_days(df, table).select(*table_schema(table).fieldNames())
-    dealt(rows, partitions, rows_per_file).write.mode("overwrite").partitionBy(*partitions).parquet(path)
+    dealt(rows, partitions, rows_per_file, large).write.mode("overwrite").partitionBy(*partitions).parquet(path)
 
 
 def write_as_dealt(df: DataFrame, path: str, table: str, files: int) -> None:
