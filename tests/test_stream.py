@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.frames import incidents, vendors
 from tidewarden import JobConfig, Thresholds
+from tidewarden.functions import keys
 from tidewarden.operators import classify
 from tidewarden.sources import events, external, tables
 from tidewarden.streaming import fold, job
@@ -108,6 +109,27 @@ def test_amended_events_are_kept(spark, tmp_path):
     assert "RocksDB" in spark.conf.get(job.STATE_STORE)
 
 
+def test_copies_are_dropped_before_they_are_decoded(spark, tmp_path):
+    source = write_messages(tmp_path / "in", spark, [texts(sample(spark, 0, 2))])
+    plan = job.prepare(source, dedup_within="1 hour")._jdf.queryExecution().analyzed().toString().split("\n")
+    # The tree is shown from its top, so what runs first comes last.
+    last = {word: max(n for n, line in enumerate(plan) if word in line) for word in ("DeduplicateWithinWatermark", "from_json")}
+    assert last["DeduplicateWithinWatermark"] > last["from_json"]
+
+
+def test_events_that_differ_in_one_field_have_different_digests(spark):
+    changes = [
+        {}, {"incident_ts": DAY}, {"incident_ts": DAY + timedelta(microseconds=1)}, {"financial_impact_eur": float("nan")},
+        {"financial_impact_eur": 0.0}, {"financial_impact_eur": -0.0}, {"affected_systems": ["a, b"]}, {"affected_systems": ["a", "b"]},
+        {"affected_systems": []}, {"ict_third_party_provider": ""}, {"ict_third_party_provider": "null"}, {"severity": "minor"},
+        {"notify_required": False}, {"notify_deadline_hours": 4}, {"containment_timestamp": DAY},
+    ]
+    same_id = {"incident_id": "00000000-0000-4000-8000-000000000001"}
+    df = incidents(spark, *[change | same_id for change in changes + changes])
+    found = [r["d"] for r in df.select(keys.event_digest().alias("d")).collect()]
+    assert len(set(found)) == len(changes) and found[: len(changes)] == found[len(changes) :]
+
+
 def test_large_parts_of_all_tables_come_from_one_pass(spark):
     hours = [{"incident_ts": DAY + timedelta(days=n % 3), "severity": None if n % 3 == 1 else "major"} for n in range(31)]
     rows, large = tables.large_parts(incidents(spark, *hours), ("incidents_raw", "incidents_classified"), 10)
