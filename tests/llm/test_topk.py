@@ -6,7 +6,8 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidewarden.llm.topk import Shard, top_k
+from tidewarden.llm import topk
+from tidewarden.llm.topk import Best, Shard, top_k
 
 SCHEMA = "vec_id long, embedding array<float>, extra string"
 
@@ -73,3 +74,81 @@ def test_non_essential_terms_are_probed_only_where_competitive():
         scores = matrix @ matrix[q]
         order = [j for j in np.lexsort((np.arange(500), -scores)) if j != q][:5]
         assert shard.best(q, matrix[q].astype(np.int64), 5) == [(int(j), int(scores[j])) for j in order]
+
+
+def best_of(matrix, ids, queries, q_ids, k=5):
+    out = []
+    for q_id, query in zip(q_ids, queries, strict=True):
+        scores = {}
+        for i, v in zip(ids, matrix, strict=True):
+            if i != q_id:
+                scores[int(i)] = max(int(v @ query), scores.get(int(i), topk.FREE))
+        out.append(sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:k])
+    return out
+
+
+def searched(matrix, ids, queries, q_ids, shards=3, k=5):
+    best = Best(len(queries), k)
+    for part in np.array_split(np.arange(len(ids)), shards):
+        Shard(ids[part], matrix[part]).search(q_ids, queries, best)
+    return [[(int(i), int(s)) for i, s in zip(*row, strict=True) if s > topk.FREE] for row in zip(best.ids, best.scores, strict=True)]
+
+
+def test_a_block_of_dense_queries_walks_no_postings(monkeypatch):
+    """Walked one by one, the queries take most of a shard's postings each: a millisecond and more a query and shard."""
+    rng = np.random.Generator(np.random.PCG64(5))
+    matrix = np.floor(256 * rng.normal(0, 0.125, (600, 64))).astype(np.int64)
+    ids = rng.permutation(600)
+    want = best_of(matrix, ids, matrix[:40], ids[:40])
+    monkeypatch.setattr(Shard, "best", None)
+    assert searched(matrix, ids, matrix[:40], ids[:40]) == want
+
+
+def test_ids_of_many_vectors_and_equal_scores_in_a_block(monkeypatch):
+    rng = np.random.Generator(np.random.PCG64(6))
+    matrix = rng.integers(-3, 4, (500, 6))
+    ids = rng.integers(0, 60, 500)
+    for kind in (np.float32, np.float64, None):
+        monkeypatch.setattr(topk, "_exact_floats", lambda most, kind=kind: kind)
+        assert searched(matrix, ids, matrix[:50], ids[:50]) == best_of(matrix, ids, matrix[:50], ids[:50])
+        assert searched(matrix[:4], ids[:4], matrix[:4], ids[:4]) == best_of(matrix[:4], ids[:4], matrix[:4], ids[:4])
+
+
+def test_floats_hold_every_partial_sum():
+    assert topk._exact_floats(2**23) is np.float32 and topk._exact_floats(2**24) is np.float64 and topk._exact_floats(2**53) is None
+    rng = np.random.Generator(np.random.PCG64(7))
+    for most in (1 << 8, 1 << 16, 1 << 25):
+        matrix = rng.integers(-most, most, (300, 32))
+        # Scores that differ by one.
+        matrix = np.concatenate([matrix, matrix + (np.arange(32) == 3)])
+        ids = np.arange(600)
+        assert searched(matrix, ids, matrix[:20], ids[:20]) == best_of(matrix, ids, matrix[:20], ids[:20])
+
+
+def test_shards_out_of_reach_are_skipped_and_short_postings_walked(monkeypatch):
+    rng = np.random.Generator(np.random.PCG64(8))
+    matrix = np.zeros((4000, 40), dtype=np.int64)
+    matrix[np.arange(4000), rng.integers(0, 40, 4000)] = rng.integers(1, 100, 4000)
+    matrix[:1000] *= 50
+    ids, queries = np.arange(4000), matrix[1000:1020]
+    want = best_of(matrix, ids, queries, ids[1000:1020])
+    calls, product, walk = [], Shard._product, Shard.best
+    monkeypatch.setattr(Shard, "_product", lambda self, *a: calls.append("product") or product(self, *a))
+    monkeypatch.setattr(Shard, "best", lambda self, *a, **b: calls.append("walk") or walk(self, *a, **b))
+    assert searched(matrix, ids, queries, ids[1000:1020], shards=4) == want
+    assert calls == ["product"]
+    matrix[:1000] //= 50
+    calls.clear()
+    assert searched(matrix, ids, queries, ids[1000:1020], shards=4) == best_of(matrix, ids, queries, ids[1000:1020])
+    assert calls[0] == "product" and "walk" in calls
+
+
+def test_vectors_of_other_lengths_than_the_queries():
+    rng = np.random.Generator(np.random.PCG64(9))
+    long, short = rng.integers(-9, 10, (30, 7)), rng.integers(-9, 10, (30, 4))
+    filled = np.pad(short, ((0, 0), (0, 3)))
+    ids = np.arange(30)
+    assert searched(long, ids, short[:9], ids[:9]) == best_of(long, ids, filled[:9], ids[:9])
+    assert searched(short, ids, long[:9], ids[:9]) == best_of(filled, ids, long[:9], ids[:9])
+    none = np.zeros((3, 0), dtype=np.int64)
+    assert searched(none, ids[:3], none, ids[:3], shards=1) == [[(1, 0), (2, 0)], [(0, 0), (2, 0)], [(0, 0), (1, 0)]]
