@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.frames import incidents, vendors
 from tidewarden import JobConfig, Thresholds
+from tidewarden.catalog import queries
 from tidewarden.functions import keys
 from tidewarden.operators import classify
 from tidewarden.sources import events, external, tables
@@ -246,3 +247,81 @@ def test_stream_equals_batch(spark, tmp_path):
     batch = classify.add_reason(classify.classify(df))
     got = job.read_classified(spark, root).select(*batch.columns)
     assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
+
+
+def test_good_records_lose_their_text_before_their_identities_meet(spark, tmp_path):
+    source = write_messages(tmp_path / "in", spark, [texts(sample(spark, 0, 2)) + ["{bad"]])
+    seen = []
+    prepared = job.prepare(source, dedup_within="1 hour").writeStream.option("checkpointLocation", str(tmp_path / "cp"))
+    prepared.trigger(availableNow=True).foreachBatch(lambda df, n: seen.extend(df.select("value").collect())).start().awaitTermination()
+    assert sorted(r["value"] or "" for r in seen) == ["", "", "{bad"]
+
+
+def test_a_long_stream_keeps_few_versions_of_its_state(spark, tmp_path):
+    lines = texts(sample(spark, 0, 8))
+    source = write_messages(tmp_path / "in", spark, [lines[n : n + 2] for n in range(7)])
+    run(source, job.Sinks(str(tmp_path / "out"), "q"), tmp_path / "cp", dedup_within="1 hour")
+    assert job.read_classified(spark, str(tmp_path / "out")).count() == 8
+    assert 1 <= len([f for f in (tmp_path / "cp" / "commits").iterdir() if f.name.isdigit()]) <= 5
+    # What the session sets itself, or leaves alone, stays so.
+    assert not job._is_set(spark, job.VERSIONS_KEPT)
+    spark.conf.set(job.VERSIONS_KEPT, "50")
+    try:
+        run(source, job.Sinks(str(tmp_path / "other"), "q"), tmp_path / "cp2", dedup_within="1 hour")
+        assert spark.conf.get(job.VERSIONS_KEPT) == "50"
+        assert len([f for f in (tmp_path / "cp2" / "commits").iterdir() if f.name.isdigit()]) >= 7
+    finally:
+        spark.conf.unset(job.VERSIONS_KEPT)
+
+
+def test_sinks_are_packed_unless_the_session_says_how(spark, tmp_path):
+    source = write_messages(tmp_path / "in", spark, [texts(sample(spark, 0, 4)) + ["{bad"]])
+    run(source, job.Sinks(str(tmp_path / "zstd"), "q"), tmp_path / "cp1")
+    spark.conf.set(job.CODEC, "snappy")
+    try:
+        run(source, job.Sinks(str(tmp_path / "snappy"), "q"), tmp_path / "cp2")
+    finally:
+        spark.conf.unset(job.CODEC)
+    for codec in ("zstd", "snappy"):
+        for table in ("incidents_raw", "incidents_classified", "audit_log", "messages", "rejected", "batch_log"):
+            names = [f.name for f in (tmp_path / codec / table).rglob("part-*.parquet")]
+            assert names and all(name.endswith(f".{codec}.parquet") for name in names)
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(found.apply(n).getName().startswith("shuffle") for n in range(found.size()))
+
+
+def test_shuffles_of_finished_work_are_dropped(spark):
+    df = spark.range(1000).repartition(4, "id")
+    df.write.format("noop").mode("overwrite").save()
+    before = shuffle_files(spark)
+    del df
+    job._drop_shuffles(spark)
+    until = time.monotonic() + 60
+    while shuffle_files(spark) >= before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert shuffle_files(spark) < before
+
+
+def test_only_large_batches_drop_shuffles(spark, tmp_path, monkeypatch):
+    lines = texts(sample(spark, 0, 12))
+    source = write_messages(tmp_path / "in", spark, [lines[:2], lines[2:10], lines[10:]])
+    dropped = []
+    monkeypatch.setattr(job, "_drop_shuffles", dropped.append)
+    run(source, job.Sinks(str(tmp_path / "out"), "q", rows_per_file=5), tmp_path / "cp")
+    assert len(dropped) == 1
+
+
+def test_packed_input_comes_in_several_batches(spark, monkeypatch):
+    lines = texts(sample(spark, 0, 40))
+    messages = spark.createDataFrame([(t,) for t in lines + lines[::3] + ["{bad"]], "value string").coalesce(1)
+    monkeypatch.setattr(queries, "MESSAGES_A_FILE", 10)
+    monkeypatch.setattr(queries, "FILES_A_BATCH", 2)
+    root = queries.streamed(spark, messages, dedup_within="1 hour", packed=True)
+    inputs = spark.read.text(f"{root}/../input").select(F.input_file_name().alias("f")).distinct().collect()
+    assert len(inputs) == 6 and all(r["f"].endswith(".txt.gz") for r in inputs)
+    assert job.read_batch_log(spark, root).count() >= 3
+    assert sorted(texts(job.read_classified(spark, root).withColumns({n: F.lit(None).cast(t) for n, t in (("severity", "string"), ("notify_required", "boolean"), ("notify_deadline_hours", "int"))}))) == sorted(lines)
+    assert job.read_rejected(spark, root).count() == 1

@@ -631,11 +631,18 @@ def smoke_summary(spark, sf_dir):
 
 # Streams, each run until its input is used up
 
+MESSAGES_A_FILE = 100_000
+FILES_A_BATCH = 48
 
-def streamed(spark, messages: DataFrame, dedup_within: str | None = None, replay: bool = False) -> str:
+
+def streamed(spark, messages: DataFrame, dedup_within: str | None = None, replay: bool = False, packed: bool = False) -> str:
     root = scratch_dir(spark, "stream")
-    messages.write.text(f"{root}/input")
-    source = external.text_stream(spark, f"{root}/input")
+    if packed:
+        # Packed files cannot be split, so they are short; a batch takes in some of them, and leaves its disk to the next.
+        messages.write.option("maxRecordsPerFile", MESSAGES_A_FILE).text(f"{root}/input", compression="gzip")
+    else:
+        messages.write.text(f"{root}/input")
+    source = external.text_stream(spark, f"{root}/input", FILES_A_BATCH if packed else None)
     # A second start from a new checkpoint delivers the same batches again.
     for attempt in range(2 if replay else 1):
         sinks = job.Sinks(f"{root}/tables", query_id="q1")
@@ -663,7 +670,7 @@ def stream_replay(spark, sf_dir):
 @query
 def stream_dedup(spark, sf_dir):
     """Copies of events and events that amend others under the same id: every distinct event stays once."""
-    root = streamed(spark, given.copied_messages(spark, sf_dir), dedup_within="1 hour")
+    root = streamed(spark, given.copied_messages(spark, sf_dir), dedup_within="1 hour", packed=True)
     return job.read_classified(spark, root).select("incident_id", "clients_affected_pct", "severity")
 
 
